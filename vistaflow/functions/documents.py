@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vistaflow.functions.values import body_value, null_if_blank, plain_text, property_text
 from vistaflow.model import PROPERTY
@@ -22,7 +23,10 @@ def _present(df: DataFrame, columns: Iterable[str]) -> list[tuple[str, Column, o
 
 def row_key(df: DataFrame, columns: Sequence[str]) -> Column:
     """Trimmed key parts joined by ``:``; null and blank parts are left out."""
-    parts = [null_if_blank(plain_text(col, dt)) for _, col, dt in _present(df, columns)]
+    parts = [
+        null_if_blank(col) if isinstance(dt, T.StringType) else plain_text(col, dt)
+        for _, col, dt in _present(df, columns)
+    ]
     return F.concat_ws(":", *parts) if parts else F.lit("")
 
 

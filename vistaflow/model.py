@@ -63,7 +63,9 @@ class ViewDef:
 
     ``id_columns`` (composite key) beats ``id_column``. ``order_columns`` give the rows a
     total order: it decides which duplicate is the last one and what position a row has.
-    ``build`` replaces the generic row-to-document mapping.
+    ``complete_keys`` states that every row has a key: a row without one is then an error
+    and reading ids alone touches the key columns alone. ``build`` replaces the generic
+    row-to-document mapping.
     """
 
     view_name: str
@@ -74,6 +76,7 @@ class ViewDef:
     property_columns: tuple[str, ...] = ()
     watermark_column: str | None = None
     order_columns: tuple[str, ...] = ()
+    complete_keys: bool = False
     enabled: bool = True
     build: Callable[[DataFrame], DataFrame] | None = field(default=None, compare=False)
 

@@ -171,6 +171,6 @@ def documents_for_user(
 ) -> DataFrame:
     """Documents one user may read by group policy; unknown users and types are denied."""
     user = users.where(F.col("email") == email.strip().lower())
-    kinds = kinds_by_user(user, allowed).where("allowed").select("object_type")
-    # At most one row per configured object type.
-    return lookup(docs, kinds, ["object_type"], "left_semi", small=True)
+    # At most one entry per configured object type, computed once and sent to every task.
+    kinds = kinds_by_user(user, allowed).where("allowed").agg(F.collect_set("object_type"))
+    return docs.where(F.array_contains(kinds.scalar(), F.col("object_type")))

@@ -210,7 +210,8 @@ def property_use(docs: DataFrame, declared: Mapping[str, Sequence[str]]) -> Data
     spark = docs.sparkSession
     rows = [(t, i, n) for t, names in declared.items() for i, n in enumerate(names, start=1)]
     definitions = spark.createDataFrame(rows, "object_type string, place int, name string")
-    used = docs.select("object_type", F.explode("custom_properties.name").alias("name"))
+    names = F.array_distinct("custom_properties.name")
+    used = docs.select("object_type", F.explode(names).alias("name"))
     counts = used.groupBy("object_type", "name").agg(F.count("*").alias("documents"))
     out = definitions.join(counts, ["object_type", "name"], "left")
     return out.withColumn("documents", _zero_if_null(F.col("documents")))

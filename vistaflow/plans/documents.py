@@ -68,8 +68,8 @@ def build_documents(
             return docs
         return pick_one(docs, ["id"], [F.xxhash64("title", "view_url", "body").desc()])
     rows = df.drop(position) if position else df
-    fallback = F.col(position) if position else D.content_key(rows)
-    keyed = df.withColumn("_key", D.key_or(D.row_key(rows, view.key_columns), fallback))
+    key = D.key_or(D.row_key(rows, view.key_columns), _fallback(rows, view, position))
+    keyed = df.withColumn("_key", key)
     if keep_last:
         keyed = pick_one(keyed, ["_key"], last_first(df, view, rows.columns))
     doc_id = F.concat(F.lit(f"{view.object_type}:"), F.col("_key"))
@@ -90,9 +90,15 @@ def build_documents(
     )
 
 
+def _fallback(rows: DataFrame, view: ViewDef, position: str | None) -> Column:
+    if view.complete_keys:
+        return F.raise_error(F.lit(f"{view.view_name}: row without a key"))
+    return F.col(position) if position else D.content_key(rows)
+
+
 def lacks_keys(df: DataFrame, view: ViewDef) -> bool:
     """True if some row has no key; reads the key columns only and stops at the first."""
-    return not df.where(D.row_key(df, view.key_columns) == "").isEmpty()
+    return not view.complete_keys and not df.where(D.row_key(df, view.key_columns) == "").isEmpty()
 
 
 def documents_by_position(

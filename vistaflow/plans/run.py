@@ -93,6 +93,17 @@ def observed_rows(df: DataFrame, view: ViewDef) -> tuple[DataFrame, Observation]
     return df.observe(observation, *metrics), observation
 
 
+def read_metrics(view: ViewDef, seen: Observation, written: int) -> dict:
+    """Row count and newest watermark of a finished write.
+
+    No documents means no rows (a custom builder aside). Spark may then have folded the
+    plan to nothing and observed nothing.
+    """
+    if written == 0 and view.build is None:
+        return {"records": 0, "watermark": None}
+    return seen.get
+
+
 def view_documents(
     df: DataFrame, view: ViewDef, since: str | None, settings: RunSettings
 ) -> tuple[DataFrame, Observation]:
@@ -157,7 +168,7 @@ def run_index(
         try:
             docs, seen = view_documents(catalog.frame(name), view, since, settings)
             written = index.write_batch(name, old.last_batch + 1, docs)
-            metrics = seen.get
+            metrics = read_metrics(view, seen, written)
             return ViewResult(
                 name, mode, since, True, metrics["records"], written, metrics["watermark"]
             )
@@ -214,7 +225,7 @@ def run_preview(
             text = preview(docs).select(F.to_json(F.struct("*")).alias("value"))
             text.write.mode("overwrite").text(folder)
             written = catalog.spark.read.text(folder).count()
-            metrics = seen.get
+            metrics = read_metrics(view, seen, written)
             return ViewResult(
                 name, "preview", None, True, metrics["records"], written, metrics["watermark"]
             )

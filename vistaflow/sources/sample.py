@@ -16,6 +16,7 @@ VIEWS = (
         title_columns=("c_name", "c_mktsegment"),
         property_columns=("c_custkey", "c_nationkey", "c_mktsegment"),
         order_columns=("c_custkey",),
+        complete_keys=True,
     ),
     ViewDef(
         "v_Order_Customer",
@@ -25,6 +26,7 @@ VIEWS = (
         property_columns=("o_custkey", "o_orderstatus", "o_orderdate", "c_mktsegment"),
         watermark_column="o_orderdate",
         order_columns=("o_orderkey",),
+        complete_keys=True,
     ),
     ViewDef(
         "v_Lineitem_Order",
@@ -34,6 +36,7 @@ VIEWS = (
         property_columns=("l_orderkey", "l_partkey", "l_shipdate"),
         watermark_column="l_shipdate",
         order_columns=("l_partkey", "l_suppkey"),
+        complete_keys=True,
     ),
     ViewDef(
         "v_Event",
@@ -43,6 +46,7 @@ VIEWS = (
         property_columns=("user_id", "event_type", "ts"),
         watermark_column="ts",
         order_columns=("event_id",),
+        complete_keys=True,
     ),
     ViewDef(
         "v_Document_Label",
@@ -51,6 +55,7 @@ VIEWS = (
         title_columns=("source", "quality", "lang"),
         property_columns=("lang", "source", "quality", "toxic"),
         order_columns=("doc_id",),
+        complete_keys=True,
     ),
     ViewDef("v_Page", "page", id_column="page_id", title_columns=("url",), enabled=False),
     ViewDef("v_Part", "part", id_column="p_partkey", title_columns=("p_name",), enabled=False),
