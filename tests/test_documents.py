@@ -63,10 +63,10 @@ def test_complete_keys_fail_on_a_missing_key(spark):
 
 def test_composite_key_skips_null_and_blank(spark):
     view = ViewDef("v", "travel", "Record", ("PersonID", "Event", "Record"))
-    rows = [(1, "SV26", "AA100"), (1, "SV26", "AA200"), (2, None, " X "), (3, "  ", None)]
+    rows = [(1, "EV26", "AA100"), (1, "EV26", "AA200"), (2, None, " X "), (3, "  ", None)]
     df = spark.createDataFrame(rows, "PersonID int, Event string, Record string")
     assert sorted(d["id"] for d in docs(df, view)) == [
-        "travel:1:SV26:AA100", "travel:1:SV26:AA200", "travel:2:X", "travel:3"
+        "travel:1:EV26:AA100", "travel:1:EV26:AA200", "travel:2:X", "travel:3"
     ]
 
 

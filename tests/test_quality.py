@@ -63,7 +63,7 @@ def test_missing_objects_and_databases(spark):
 
 def test_cross_references_equal_brute_force(spark):
     texts = {
-        1: "SELECT * FROM Image.dbo.Picture JOIN ems ON 1",
+        1: "SELECT * FROM Image.dbo.Picture JOIN crm ON 1",
         2: "imagery and my-db, pre_Image",
         3: "Über IMAGE; the My-DB and my db",
         4: "straße Straße x+y MY-DB.",
@@ -71,7 +71,7 @@ def test_cross_references_equal_brute_force(spark):
         6: None,
         7: "the the The " * 50,
     }
-    names = ["Image", "EMS", "my-db", "x+y", "über", "straße", "the", "a.b", "my"]
+    names = ["Image", "CRM", "my-db", "x+y", "über", "straße", "the", "a.b", "my"]
     df = spark.createDataFrame(list(texts.items()), "id int, body string")
     given = spark.createDataFrame([(n,) for n in names], "n string")
     got = {tuple(r) for r in Q.cross_references(df, "id", "body", given).collect()}

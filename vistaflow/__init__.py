@@ -2,6 +2,16 @@
 
 from vistaflow.model import DOCUMENT_SCHEMA, Filter, ViewDef
 from vistaflow.plans.query import aggregate, query
+from vistaflow.plans.requests import AccessRules, ViewRequests
 from vistaflow.sources.catalog import ViewCatalog
 
-__all__ = ["DOCUMENT_SCHEMA", "Filter", "ViewCatalog", "ViewDef", "aggregate", "query"]
+__all__ = [
+    "DOCUMENT_SCHEMA",
+    "AccessRules",
+    "Filter",
+    "ViewCatalog",
+    "ViewDef",
+    "ViewRequests",
+    "aggregate",
+    "query",
+]

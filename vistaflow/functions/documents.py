@@ -66,14 +66,17 @@ def view_url(object_type: str, key: Column, *, fixed: str = "", base: str = "")
 
 
 def custom_properties(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Array of (name, text) for the non-null property columns, in declared order."""
-    items = [
-        F.struct(F.lit(name).alias("name"), property_text(col, dt).alias("value"))
-        for name, col, dt in _present(df, columns)
-    ]
-    if not items:
-        return F.array().cast(f"array<{PROPERTY.simpleString()}>")
-    return F.filter(F.array(*items), lambda p: p["value"].isNotNull())
+    """Array of (name, text) for the non-null property columns, in declared order.
+
+    Short arrays are joined rather than one array filtered: that stays in generated code.
+    """
+    nothing = F.array().cast(f"array<{PROPERTY.simpleString()}>")
+    parts = []
+    for name, col, dt in _present(df, columns):
+        text = property_text(col, dt)
+        item = F.struct(F.lit(name).alias("name"), text.alias("value"))
+        parts.append(F.when(text.isNotNull(), F.array(item)).otherwise(nothing))
+    return F.concat(*parts) if parts else nothing
 
 
 def kept_columns(columns: Iterable[str], exclude: Iterable[str]) -> list[str]:

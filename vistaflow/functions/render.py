@@ -21,6 +21,9 @@ RESOLUTIONS = {
 DEFAULT_KIND = "unexpected"
 
 
+# The labels and layout of the texts below are fixed values.
+
+
 def with_resolution(
     events: DataFrame, resolutions: Mapping[str, str] = RESOLUTIONS
 ) -> DataFrame:

@@ -19,11 +19,9 @@ def iso_text(col: Column, data_type: T.DataType) -> Column:
     text = col.cast("string")
     if not isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
         return text
-    seconds = F.replace(F.substr(text, F.lit(1), F.lit(19)), F.lit(" "), F.lit("T"))
-    fraction = F.when(
-        F.length(text) > 19, F.rpad(F.substr(text, F.lit(20), F.lit(7)), 7, "0")
-    ).otherwise("")
-    iso = F.concat(seconds, fraction)
+    day, clock = F.substr(text, F.lit(1), F.lit(10)), F.substr(text, F.lit(12))
+    iso = F.concat(day, F.lit("T"), clock)
+    iso = F.when(F.length(text) > 19, F.rpad(iso, 26, "0")).otherwise(iso)
     if isinstance(data_type, T.TimestampType):
         iso = F.concat(iso, F.date_format(col, "xxx"))
     return iso

@@ -77,6 +77,7 @@ class ViewDef:
     watermark_column: str | None = None
     order_columns: tuple[str, ...] = ()
     complete_keys: bool = False
+    schema: str | None = None
     enabled: bool = True
     build: Callable[[DataFrame], DataFrame] | None = field(default=None, compare=False)
 
@@ -87,10 +88,13 @@ class ViewDef:
 
 @dataclass(frozen=True)
 class DocumentOptions:
-    """Settings of one run that apply to every view built by the generic mapping."""
+    """Settings of one run that apply to every view built by the generic mapping.
+
+    ``run_epoch`` is the time put on documents, in seconds; None is the time of the query.
+    """
 
     datasource: str = "views"
-    run_epoch: int = 0
+    run_epoch: int | None = None
     exclude_columns: tuple[str, ...] = ()
     view_url: str = ""
     view_url_base: str = ""

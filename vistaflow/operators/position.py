@@ -18,21 +18,25 @@ ROW_BITS = 33
 ROW_MASK = (1 << ROW_BITS) - 1
 
 
-def with_position(df: DataFrame, order: Sequence[str], name: str = "position") -> DataFrame:
-    """Add the 0-based position of each row in the total order of ``order``.
+def with_position(
+    df: DataFrame, order: Sequence[str], name: str = "position", *, unique: bool = False
+) -> DataFrame:
+    """Add the 0-based position of each row in the order of ``order``.
 
     Rows are range-partitioned and sorted inside each partition; the partition sizes, one
-    number per partition, give the offsets. Rows equal in ``order`` are spread by an extra
-    range key, so a repeated value does not end in one task. The sorted rows are written to
-    the shared folder once: sizes and positions then come from the same table even if an
-    executor is lost between the two passes.
+    number per partition, give the offsets. The sorted rows are written to the shared
+    folder once: sizes and positions then come from the same table even if an executor is
+    lost between the two passes.
+
+    Unless ``order`` is ``unique``, rows equal in it are told apart by a number written
+    with them beforehand. It spreads a value that most rows share over many ranges, and as
+    it is stored, a task that is run again sorts its rows the same way.
     """
-    spread = F.monotonically_increasing_id().alias("_spread")
-    ranged = (
-        df.select("*", spread)
-        .repartitionByRange(*order, "_spread")
-        .sortWithinPartitions(*order, "_spread")
-    )
+    keys = list(order)
+    if not unique:
+        df = staged(df.withColumn("_spread", F.monotonically_increasing_id()), "rows")
+        keys.append("_spread")
+    ranged = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     slotted = ranged.drop("_spread").withColumn("_slot", F.monotonically_increasing_id())
     table = staged(slotted, "position").withColumn("_part", F.shiftright("_slot", ROW_BITS))
     sizes = table.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect()
@@ -51,9 +55,9 @@ def page_size(requested: int, *, upsert: bool) -> int:
     return min(UPSERT_PAGE_CAP, size) if upsert else size
 
 
-def with_pages(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
-    """Add the page number of each row in upload order."""
-    placed = with_position(df, order)
+def with_pages(df: DataFrame, key: str, size: int) -> DataFrame:
+    """Add the page number of each row in upload order, which is that of a unique key."""
+    placed = with_position(df, [key], unique=True)
     return placed.withColumn("page", F.floor(F.col("position") / size).cast("long"))
 
 

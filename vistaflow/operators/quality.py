@@ -234,17 +234,21 @@ def violations(
     )
     url = F.col("view_url")
 
-    def found(rule: str, detail: Column) -> Column:
-        return F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
-
-    single = F.array(
-        F.when(known.isNull(), found("undeclared_type", F.col("object_type"))),
-        F.when(F.coalesce(F.trim(url), F.lit("")) == "", found("blank_url", url)),
-        F.when(~url.rlike(f"^{url_pattern}"), found("url_mismatch", url)),
-        F.when(F.col("permissions").isNull(), found("no_permissions", F.lit(None))),
+    none = F.array().cast("array<struct<rule:string,detail:string>>")
+
+    def found(test: Column, rule: str, detail: Column) -> Column:
+        item = F.struct(F.lit(rule).alias("rule"), detail.cast("string").alias("detail"))
+        return F.when(test, F.array(item)).otherwise(none)
+
+    # Conditional one-entry arrays and arrays_zip, unlike lambdas, stay in generated code.
+    repeated_rule = F.array_repeat(F.lit("undeclared_property"), F.size(undeclared))
+    broken = F.concat(
+        found(known.isNull(), "undeclared_type", F.col("object_type")),
+        found(F.coalesce(F.trim(url), F.lit("")) == "", "blank_url", url),
+        found(~url.rlike(f"^{url_pattern}"), "url_mismatch", url),
+        found(F.col("permissions").isNull(), "no_permissions", F.lit(None)),
+        F.arrays_zip(repeated_rule.alias("rule"), undeclared.alias("detail")),
     )
-    many = F.transform(undeclared, lambda name: found("undeclared_property", name))
-    broken = F.filter(F.concat(single, many), lambda v: v.isNotNull())
     per_document = docs.select("id", F.inline(broken))
     repeated = duplicate_keys(docs, "id").select(
         "id", F.lit("duplicate_id").alias("rule"), F.col("copies").cast("string").alias("detail")

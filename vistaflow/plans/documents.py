@@ -76,14 +76,16 @@ def build_documents(
     url = D.view_url(
         view.object_type, F.col("_key"), fixed=options.view_url, base=options.view_url_base
     )
+    epoch = F.unix_timestamp() if options.run_epoch is None else F.lit(options.run_epoch)
+    epoch = epoch.cast("long")
     return keyed.select(
         F.lit(view.object_type).alias("object_type"),
         F.lit(options.datasource).alias("datasource"),
         doc_id.alias("id"),
         D.title(rows, view.title_columns, doc_id).alias("title"),
         url.alias("view_url"),
-        F.lit(options.run_epoch).cast("long").alias("created_at"),
-        F.lit(options.run_epoch).cast("long").alias("updated_at"),
+        epoch.alias("created_at"),
+        epoch.alias("updated_at"),
         D.body(rows, options.exclude_columns).alias("body"),
         D.custom_properties(rows, view.property_columns).alias("custom_properties"),
         permissions(acl_id).alias("permissions"),

@@ -156,6 +156,7 @@ def run_index(
     state is saved last, so a run that dies before that is simply done again. If the user
     list cannot be written, documents go out but no watermark moves.
     """
+    settings = _timed(settings, now())
     saved = state.load()
     use_saved = settings.incremental and not settings.full_refresh
     users_ok = _attempt(write_users)
@@ -177,11 +178,17 @@ def run_index(
 
     results = _each_view(catalog.definitions(), settings, one)
     if any(r.documents for r in results):
-        stamp = now().isoformat()
-        state.save(_next_state(saved, results, settings, stamp, users_ok))
+        state.save(_next_state(saved, results, settings, now().isoformat(), users_ok))
     return RunReport(results, users_ok)
 
 
+def _timed(settings: RunSettings, start: datetime) -> RunSettings:
+    """The settings with one document time for the whole run."""
+    if settings.options.run_epoch is not None:
+        return settings
+    return replace(settings, options=replace(settings.options, run_epoch=int(start.timestamp())))
+
+
 def _attempt(action: Callable[[], None] | None) -> bool:
     try:
         if action is not None:

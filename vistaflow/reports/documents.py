@@ -321,7 +321,7 @@ def row_position(spark, folder):
 )
 def upload_pages(spark, folder):
     ids = docs_of(spark, folder, "v_Event").select("id")
-    return page_plan(with_pages(ids, ["id"], page_size(1000, upsert=True)))
+    return page_plan(with_pages(ids, "id", page_size(1000, upsert=True)))
 
 
 # --- index states ---------------------------------------------------------------------------

@@ -16,6 +16,25 @@ RECOMMENDED = {
 }
 
 
+SHUFFLE_BYTES = 128 * 1024 * 1024
+# Beyond this the driver's bookkeeping costs more than larger partitions that may spill.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job over ``input_bytes``: shuffle partitions of about 128 MB.
+
+    Spark starts with this many and merges small ones, so an estimate on the high side
+    costs little while one on the low side spills.
+    """
+    wanted = max(2 * cores, -(-input_bytes // SHUFFLE_BYTES))
+    partitions = min(wanted, MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES),
+    }
+
+
 def build_session(app_name: str, master: str | None = None, **extra: str) -> SparkSession:
     """A session with the recommended settings; ``master`` is for tests and benchmarks."""
     builder = SparkSession.builder.appName(app_name)

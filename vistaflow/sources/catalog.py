@@ -27,9 +27,8 @@ class ViewCatalog:
     nothing is read before an action.
     """
 
-    def __init__(self, spark: SparkSession, schema: str = "rpt") -> None:
+    def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.schema = schema
         self._loaders: dict[str, Callable[[], DataFrame]] = {}
         self._defs: dict[str, ViewDef] = {}
 
