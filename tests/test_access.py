@@ -128,6 +128,7 @@ REQUESTS = [
 
 def test_audit_equals_the_single_rule(spark, grants):
     requests = spark.createDataFrame(REQUESTS, "n int, view_name string, user_email string")
+    requests = requests.selectExpr("*", "'kept' AS email")
     supers = superusers(spark, "root@x.example")
     got = {r["n"]: (r["allowed"], r["reason"]) for r in A.audit(requests, grants, supers).collect()}
     assert got == {
@@ -140,7 +141,7 @@ def test_audit_equals_the_single_rule(spark, grants):
     assert all(r["allowed"] for r in everyone)
     assert A.may_access("z", "v", grants, all_access=True)
     kept = A.granted_requests(requests, grants).collect()
-    assert [r["n"] for r in kept] == [1]
+    assert [(r["n"], r["email"]) for r in kept] == [(1, "kept")]
 
 
 def test_group_policy(spark, users):

@@ -233,6 +233,21 @@ def test_duplicates_and_late_ties(spark, job):
     assert job.found() == [("company:1", "new")]
 
 
+def test_views_that_share_a_type_give_one_document_per_id(spark, job):
+    first = ViewDef("v_A", "same", "CompanyID", title_columns=("Name",), watermark_column="Modified")
+    second = ViewDef("v_B", "same", "CompanyID", title_columns=("Name",), watermark_column="Modified")
+
+    def found():
+        docs = job.index.documents(job.state.load(), [first, second])
+        return sorted((r["id"], r["title"]) for r in docs.collect())
+
+    a, b = frame(spark, (1, "a", at(1)), (2, "a", at(1))), frame(spark, (2, "b", at(1)), (3, "b", at(1)))
+    job.run([(first, a), (second, b)], now=lambda: at(10))
+    assert found() == [("same:1", "a"), ("same:2", "b"), ("same:3", "b")]
+    job.run([(first, frame(spark, (2, "A", at(2)))), (second, b)], now=lambda: at(11))
+    assert found() == [("same:1", "a"), ("same:2", "A"), ("same:3", "b")]
+
+
 def test_rows_without_keys_are_numbered(spark, job):
     view = ViewDef("v_N", "n", "CompanyID", title_columns=("Name",), order_columns=("Name",))
     rows = frame(spark, (None, "b", None), (None, "a", None), (7, "c", None))

@@ -93,15 +93,20 @@ def grants_by_view(grants: DataFrame) -> DataFrame:
 
 def granted_requests(requests: DataFrame, grants: DataFrame) -> DataFrame:
     """Requests whose (view, email) pair is granted; both are compared normalized."""
-    pairs = grants.select("view", "email").distinct()
+    pairs = _pairs(grants)
     keyed = _normalized_requests(requests)
-    kept = lookup(keyed, pairs, ["view", "email"], "left_semi", small=within_rows(pairs))
+    kept = lookup(keyed, pairs, ["_view", "_email"], "left_semi", small=within_rows(pairs))
     return kept.select(*requests.columns)
 
 
+def _pairs(grants: DataFrame) -> DataFrame:
+    return grants.select(F.col("view").alias("_view"), F.col("email").alias("_email")).distinct()
+
+
 def _normalized_requests(requests: DataFrame) -> DataFrame:
+    """Requests with join keys under names of their own; other columns stay as they are."""
     return requests.withColumns(
-        {"view": F.lower("view_name"), "email": normalized(F.col("user_email"))}
+        {"_view": F.lower("view_name"), "_email": normalized(F.col("user_email"))}
     )
 
 
@@ -114,16 +119,17 @@ def audit(
     """
     if all_access:
         return requests.withColumns({"allowed": F.lit(True), "reason": F.lit("all_access")})
-    pairs = grants.select("view", "email").distinct().withColumn("granted", F.lit(True))
-    views = grants.select("view").distinct().withColumn("listed", F.lit(True))
-    supers = superusers.select("email").distinct().withColumn("is_super", F.lit(True))
+    pairs = _pairs(grants)
+    views = grants.select(F.col("view").alias("_view")).distinct()
+    supers = superusers.select(normalized(F.col("email")).alias("_email")).distinct()
     out = _normalized_requests(requests)
-    for dim, keys in ((supers, ["email"]), (pairs, ["view", "email"]), (views, ["view"])):
-        out = lookup(out, dim, keys, small=within_rows(dim))
+    for dim, flag in ((supers, "_super"), (pairs, "_granted"), (views, "_listed")):
+        keys = dim.columns
+        out = lookup(out, dim.withColumn(flag, F.lit(True)), keys, small=within_rows(dim))
     reason = (
-        F.when(F.col("is_super"), "superuser")
-        .when(F.col("granted"), "granted")
-        .when(F.col("listed"), "not_granted")
+        F.when(F.col("_super"), "superuser")
+        .when(F.col("_granted"), "granted")
+        .when(F.col("_listed"), "not_granted")
         .otherwise("view_not_listed")
     )
     out = out.withColumn("reason", reason)

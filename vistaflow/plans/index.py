@@ -7,12 +7,15 @@ saved its state stays invisible and is overwritten by the next attempt.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vistaflow.model import DOCUMENT_SCHEMA, require_identifier
+from vistaflow.model import DOCUMENT_SCHEMA, ViewDef, require_identifier
 from vistaflow.operators.dedupe import last_wins
 from vistaflow.operators.lookup import within_rows
 from vistaflow.operators.upsert import upsert
@@ -55,12 +58,30 @@ class DocumentIndex:
         newest = last_wins(changed, "id", ["batch"])
         return upsert(base.drop("batch"), newest.drop("batch"), small=small)
 
-    def documents(self, states: dict[str, ViewState]) -> DataFrame:
-        """Current documents of all views."""
-        parts = [self.view_documents(s) for s in states.values()]
-        if not parts:
+    def documents(
+        self, states: dict[str, ViewState], views: Sequence[ViewDef] = ()
+    ) -> DataFrame:
+        """Current documents of all views.
+
+        Ids start with the object type, so they can only clash between views that share
+        one. ``views``, in catalog order, tells which do: there the newest run wins, and
+        within a run the later view.
+        """
+        order = {v.view_name: i for i, v in enumerate(views)}
+        uses = Counter(v.object_type for v in views)
+        shared = {v.view_name for v in views if uses[v.object_type] > 1}
+        apart = [self.view_documents(s) for n, s in states.items() if n not in shared]
+        together = [
+            self.view_documents(s).withColumn("view_ord", F.lit(order[n]))
+            for n, s in states.items()
+            if n in shared
+        ]
+        if together:
+            mixed = reduce(DataFrame.unionByName, together)
+            apart.append(last_wins(mixed, "id", ["updated_at", "view_ord"]).drop("view_ord"))
+        if not apart:
             return self.spark.createDataFrame([], DOCUMENT_SCHEMA)
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, apart)
 
     def compact(self, state: ViewState) -> ViewState:
         """Fold a view's batches into one; the returned state must be saved to take effect."""

@@ -207,8 +207,8 @@ def _next_state(
 ) -> dict[str, ViewState]:
     views = dict(saved)
     for r in results:
-        if not r.ok:
-            continue
+        if not r.ok or not (r.documents or settings.full_refresh):
+            continue  # failed, or nothing new: the old entry stays
         old = saved.get(r.view, ViewState(r.view))
         batch = old.last_batch + 1
         base = batch if settings.full_refresh or old.last_batch < 0 else old.base_batch

@@ -19,7 +19,7 @@ from vistaflow.session import new_folder
 from vistaflow.sources.catalog import ViewCatalog
 from vistaflow.sources.sample import VIEW, catalog, table
 from vistaflow.sources.scan import newest_watermark
-from vistaflow.streaming.upserts import stream_documents, streamed_documents
+from vistaflow.streaming.upserts import stream_documents, stream_state
 
 CUT = "2000-12-01"
 OPTIONS = DocumentOptions(datasource="sample", view_url_base="https://search.example.org")
@@ -233,4 +233,5 @@ def stream_upsert(spark, folder):
     root = new_folder(spark, "stream")
     index = DocumentIndex(spark, f"{root}/documents")
     stream_documents(rows, view, index, f"{root}/checkpoint", OPTIONS).awaitTermination()
-    return streamed_documents(index, view, f"{root}/checkpoint").select("id", "title")
+    state = stream_state(index, view, f"{root}/checkpoint")
+    return index.view_documents(state).select("id", "title")

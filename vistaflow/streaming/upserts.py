@@ -18,16 +18,19 @@ def stream_documents(
     index: DocumentIndex,
     checkpoint: str,
     options: DocumentOptions = DocumentOptions(),
+    *,
+    shift: int = 0,
 ) -> StreamingQuery:
     """Upsert the documents of all rows that have arrived, then stop.
 
     The epoch is the batch number of the index: an epoch that is run again after a failure
     replaces its own batch. The checkpoint is the commit; there is no second state to keep.
+    ``shift`` is the number of compactions so far; each took one batch number.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
         docs = build_documents(batch, view, options, keep_last=True)
-        index.write_batch(view.view_name, epoch, docs)
+        index.write_batch(view.view_name, epoch + shift, docs)
 
     return (
         needed_columns(rows, view, options)
@@ -44,7 +47,12 @@ def committed_epoch(spark: SparkSession, checkpoint: str) -> int:
     return max((int(n) for n in names if n.isdigit()), default=-1)
 
 
-def streamed_documents(index: DocumentIndex, view: ViewDef, checkpoint: str) -> DataFrame:
-    """Current documents of a view fed by a stream with this checkpoint."""
-    last = committed_epoch(index.spark, checkpoint)
-    return index.view_documents(ViewState(view.view_name, base_batch=0, last_batch=last))
+def stream_state(
+    index: DocumentIndex, view: ViewDef, checkpoint: str, *, base_batch: int = 0, shift: int = 0
+) -> ViewState:
+    """The batches of a view fed by a stream with this checkpoint.
+
+    ``index.compact`` folds them into one; go on with its base batch and a higher shift.
+    """
+    last = committed_epoch(index.spark, checkpoint) + shift
+    return ViewState(view.view_name, base_batch=base_batch, last_batch=last)
