@@ -185,7 +185,19 @@ def test_colliding_composite_keys_are_reported(spark):
 def test_custom_builder_is_checked(spark):
     df = spark.createDataFrame([(1,)], "PersonID int")
     with pytest.raises(ValueError, match="lacks document columns"):
-        build_documents(df, ViewDef("v", "p", build=lambda d: d))
+        build_documents(df, ViewDef("v", "p", build=lambda d, **_: d))
+
+
+def test_custom_builder_gets_datasource_and_readers(spark):
+    def build(df, *, datasource, acl_id):
+        inner = ViewDef("v", "inner", "PersonID")
+        return build_documents(df, inner, DocumentOptions(datasource), acl_id=acl_id)
+
+    df = spark.createDataFrame([(1,), (1,)], "PersonID int")
+    options = DocumentOptions("crm", exclude_columns=("*",))
+    (d,) = docs(df, ViewDef("v", "p", build=build), options, acl_id="all", keep_last=True)
+    assert (d["id"], d["datasource"], d["permissions"]["acl_id"]) == ("inner:1", "crm", "all")
+    assert json.loads(d["body"]) == {"PersonID": 1}
 
 
 def test_preview(spark):

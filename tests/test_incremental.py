@@ -6,6 +6,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from vistaflow.functions.render import RESOLUTIONS, rendered
 from vistaflow.model import DocumentOptions, ViewDef
 from vistaflow.operators.upsert import diff, upsert
 from vistaflow.plans.index import DocumentIndex
@@ -176,6 +177,10 @@ def test_one_failing_view_does_not_stop_the_others(spark, job):
     assert "cannot bind" in report.results[1].error
     assert [i for i, _ in job.found()] == ["one:1", "three:1"]
     assert report.frame(spark).count() == 3
+    (event,) = rendered(report.failures(spark, "crm", "r1", at(9))).collect()
+    assert event["subject"] == "[crm] view_fetch failure"
+    assert event["message"] == "View v_two failed to fetch/build: cannot bind"
+    assert event["resolution"] == RESOLUTIONS["view_fetch"] and "r1" in event["chat"]
 
 
 def test_full_refresh_replaces_and_moves_the_watermark(spark, job):
@@ -211,7 +216,7 @@ def test_user_failure_keeps_the_watermark_but_not_the_documents(spark, job):
 
     rows = frame(spark, (1, "a", at(1)))
     report = job.run([(VIEW, rows)], write_users=fail)
-    assert not report.ok
+    assert not report.ok and report.user_error == "no rights"
     assert job.found() == [("company:1", "a")]
     assert job.state.load()["v_Company"].watermark is None
     job.run([(VIEW, rows)])

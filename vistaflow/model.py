@@ -65,7 +65,8 @@ class ViewDef:
     total order: it decides which duplicate is the last one and what position a row has.
     ``complete_keys`` states that every row has a key: a row without one is then an error
     and reading ids alone touches the key columns alone. ``build`` replaces the generic
-    row-to-document mapping.
+    row-to-document mapping: it is called as ``build(df, datasource=..., acl_id=...)``, gives
+    rows of ``DOCUMENT_SCHEMA``, and column exclusion and URL settings do not apply to it.
     """
 
     view_name: str
@@ -79,7 +80,7 @@ class ViewDef:
     complete_keys: bool = False
     schema: str | None = None
     enabled: bool = True
-    build: Callable[[DataFrame], DataFrame] | None = field(default=None, compare=False)
+    build: Callable[..., DataFrame] | None = field(default=None, compare=False)
 
     @property
     def key_columns(self) -> tuple[str, ...]:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vistaflow.model import Filter, require_identifier
+from vistaflow.operators.lookup import BROADCAST_ROWS
 
 # Values a list may hold before it is compared by a semi-join instead of an IN predicate.
 IN_LIST_LIMIT = 1000
@@ -118,8 +119,10 @@ def apply_filters(df: DataFrame, filters: Iterable[Filter]) -> DataFrame:
 
 
 def _in_list(df: DataFrame, f: Filter) -> DataFrame:
-    """A long value list as a broadcast semi-join; its size is the request's own."""
+    """A long value list as a semi-join, broadcast if the request lists few enough."""
     field = resolve(df, f.column, "filter column")
     values = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(f.value)], ["v"])
     values = values.select(typed_column(F.col("v"), values.schema["v"].dataType, field.dataType))
-    return df.join(F.broadcast(values), df[field.name] == values["v"], "left_semi")
+    if len(f.value) <= BROADCAST_ROWS:
+        values = F.broadcast(values)
+    return df.join(values, df[field.name] == values["v"], "left_semi")

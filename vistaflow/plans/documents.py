@@ -63,7 +63,9 @@ def build_documents(
     row of each id; it works on the source rows, which are smaller than their documents.
     """
     if view.build is not None:
-        docs = checked_documents(view.build(df))
+        docs = checked_documents(
+            view.build(df, datasource=options.datasource, acl_id=acl_id)
+        )
         if not keep_last:
             return docs
         return pick_one(docs, ["id"], [F.xxhash64("title", "view_url", "body").desc()])

@@ -39,6 +39,14 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
+EVENT_SCHEMA = T.StructType(
+    [
+        T.StructField(name, T.StringType())
+        for name in ("connector", "error_type", "message", "timestamp", "run_id", "detail")
+    ]
+)
+
+
 @dataclass(frozen=True)
 class ViewResult:
     """Outcome of one view; ``records - documents`` is the number of dropped duplicates."""
@@ -73,8 +81,14 @@ class RunSettings:
 
 @dataclass(frozen=True)
 class RunReport:
+    """What became of every view; ``user_error`` is set if the user list was not written."""
+
     results: tuple[ViewResult, ...]
-    ok: bool
+    user_error: str | None = None
+
+    @property
+    def ok(self) -> bool:
+        return self.user_error is None
 
     @property
     def failed_views(self) -> list[str]:
@@ -83,6 +97,20 @@ class RunReport:
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([astuple(r) for r in self.results], REPORT_SCHEMA)
 
+    def failures(
+        self, spark: SparkSession, connector: str, run_id: str, at: datetime
+    ) -> DataFrame:
+        """Failure events of the run, ready for functions.render.rendered."""
+        found = [
+            ("view_fetch", f"View {r.view} failed to fetch/build: {r.error}")
+            for r in self.results
+            if not r.ok
+        ]
+        if self.user_error is not None:
+            found.append(("user_indexing", self.user_error))
+        rows = [(connector, kind, text, at.isoformat(), run_id, None) for kind, text in found]
+        return spark.createDataFrame(rows, EVENT_SCHEMA)
+
 
 def observed_rows(df: DataFrame, view: ViewDef) -> tuple[DataFrame, Observation]:
     """The rows with their count and newest watermark taken in the pass that writes them."""
@@ -159,7 +187,7 @@ def run_index(
     settings = _timed(settings, now())
     saved = state.load()
     use_saved = settings.incremental and not settings.full_refresh
-    users_ok = _attempt(write_users)
+    user_error = _attempt(write_users)
 
     def one(view: ViewDef) -> ViewResult:
         name = view.view_name
@@ -178,8 +206,9 @@ def run_index(
 
     results = _each_view(catalog.definitions(), settings, one)
     if any(r.documents for r in results):
+        users_ok = user_error is None
         state.save(_next_state(saved, results, settings, now().isoformat(), users_ok))
-    return RunReport(results, users_ok)
+    return RunReport(results, user_error)
 
 
 def _timed(settings: RunSettings, start: datetime) -> RunSettings:
@@ -189,13 +218,14 @@ def _timed(settings: RunSettings, start: datetime) -> RunSettings:
     return replace(settings, options=replace(settings.options, run_epoch=int(start.timestamp())))
 
 
-def _attempt(action: Callable[[], None] | None) -> bool:
+def _attempt(action: Callable[[], None] | None) -> str | None:
+    """The error the action gave, if any; documents are written all the same."""
     try:
         if action is not None:
             action()
-        return True
-    except Exception:  # noqa: BLE001 - documents are still written
-        return False
+        return None
+    except Exception as exc:  # noqa: BLE001 - reported, not raised
+        return str(exc)
 
 
 def _next_state(
@@ -239,4 +269,4 @@ def run_preview(
         except Exception as exc:  # noqa: BLE001 - one bad view must not stop the others
             return ViewResult(name, "preview", None, False, error=str(exc).split("\n", 1)[0])
 
-    return RunReport(_each_view(catalog.definitions(), settings, one), True)
+    return RunReport(_each_view(catalog.definitions(), settings, one))

@@ -21,6 +21,7 @@ from vistaflow.operators.upsert import diff, upsert
 from vistaflow.plans.documents import (
     build_documents,
     documents_by_position,
+    permissions,
     preview,
     union_documents,
     with_anonymous_default,
@@ -271,12 +272,12 @@ def doc_lookup(spark, folder):
 def custom_builder(spark, folder):
     """A builder of its own: one document per day instead of one per row."""
 
-    def per_day(df: DataFrame) -> DataFrame:
+    def per_day(df: DataFrame, *, datasource: str, acl_id: str | None) -> DataFrame:
         days = df.groupBy("o_orderdate").agg(F.count("*").alias("n"))
         nothing = F.lit(None).cast("string")
         return days.select(
             F.lit("daily").alias("object_type"),
-            F.lit("sample").alias("datasource"),
+            F.lit(datasource).alias("datasource"),
             F.concat(F.lit("day:"), F.col("o_orderdate").cast("date").cast("string")).alias("id"),
             F.concat(F.col("n").cast("string"), F.lit(" orders")).alias("title"),
             nothing.alias("view_url"),
@@ -284,7 +285,7 @@ def custom_builder(spark, folder):
             F.lit(0).alias("updated_at"),
             F.to_json(F.struct("n")).alias("body"),
             F.array().cast("array<struct<name:string,value:string>>").alias("custom_properties"),
-            F.lit(None).cast("struct<a:boolean,acl_id:string>").alias("permissions"),
+            permissions(acl_id).alias("permissions"),
         )
 
     view = ViewDef("v_Order_Customer", "daily", build=per_day)

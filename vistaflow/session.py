@@ -46,10 +46,12 @@ def build_session(app_name: str, master: str | None = None, **extra: str) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The cluster's ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
+    if not configured and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="vistaflow-")
         spark.sparkContext.setCheckpointDir(configured)
