@@ -113,9 +113,11 @@ def profile_guess(spark, folder):
 @report(
     "text_cross_refs",
     """
-    WITH n AS (SELECT DISTINCT lang AS name FROM documents)
-    SELECT doc_id, name FROM documents, n
-    WHERE regexp_matches(text, '(?i)(^|[^\\p{L}\\p{N}_])' || name || '($|[^\\p{L}\\p{N}_])')
+    WITH n AS (SELECT DISTINCT lang AS name FROM documents),
+         w AS (SELECT DISTINCT doc_id,
+                      unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+')) AS word
+               FROM documents)
+    SELECT doc_id, name FROM w JOIN n ON word = lower(name)
     """,
 )
 def text_cross_refs(spark, folder):
