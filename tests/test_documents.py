@@ -14,7 +14,7 @@ from vistaflow.model import DOCUMENT_SCHEMA, DocumentOptions, ViewDef
 from vistaflow.operators.dedupe import duplicate_keys, duplicate_report, last_wins
 from vistaflow.plans.documents import (
     build_documents,
-    documents_by_position,
+    documents_of_all_rows,
     lacks_keys,
     needed_columns,
     preview,
@@ -42,7 +42,7 @@ def test_no_key_column_uses_position(spark):
     view = ViewDef("v", "person", "PersonID", order_columns=("FirstName",))
     df = spark.createDataFrame([("NoId",), ("Other",)], "FirstName string")
     assert lacks_keys(df, view)
-    out = documents_by_position(df, view).collect()
+    out = documents_of_all_rows(df, view).collect()
     assert sorted((d["id"], d["title"]) for d in out) == [
         ("person:0", "person:0"), ("person:1", "person:1")
     ]
@@ -54,6 +54,19 @@ def test_no_key_and_no_order_uses_content(spark):
     assert len(first) == 2 and first == again
 
 
+def test_copies_of_a_row_without_a_key_are_all_kept(spark):
+    rows = [(None, "same")] * 300 + [(None, f"n{i}") for i in range(50)] + [(7, "keyed")]
+    df = spark.createDataFrame(rows, "PersonID int, FirstName string").repartition(8)
+    one, two = (documents_of_all_rows(df, PEOPLE, keep_last=True).collect() for _ in range(2))
+    assert len({d["id"] for d in one}) == len(one) == 351
+    assert {d["id"] for d in one} == {d["id"] for d in two}
+    assert sum(d["title"] == "same" for d in one) == 300
+    distinct = spark.createDataFrame([(None, "a"), (None, "b")], "PersonID int, FirstName string")
+    assert {d["id"] for d in documents_of_all_rows(distinct, PEOPLE).collect()} == {
+        d["id"] for d in docs(distinct)
+    }
+
+
 def test_complete_keys_fail_on_a_missing_key(spark):
     view = ViewDef("v", "person", "PersonID", complete_keys=True)
     df = spark.createDataFrame([(1,), (None,)], "PersonID long")

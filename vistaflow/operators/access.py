@@ -45,15 +45,22 @@ def with_superusers(users: DataFrame, superusers: DataFrame) -> DataFrame:
     extra = superusers.select(
         strip(F.col("datasource_user_id")).alias("user_id"), strip(F.col("email")).alias("email")
     ).where("user_id <> '' AND email <> ''")
-    extra = extra.withColumn("key", F.lower("email")).dropDuplicates(["user_id"])
-    extra = extra.dropDuplicates(["key"])
-    known = users.where("email <> ''").select(F.lower(strip(F.col("email"))).alias("key"))
-    missing = extra.join(users.select("user_id"), "user_id", "left_anti").join(
-        known, "key", "left_anti"
-    )
-    return users.unionByName(
-        missing.select("user_id", "email", F.col("email").alias("name"), F.lit(True).alias("is_active"))
-    )
+    extra = extra.withColumn("_mail", F.lower("email"))
+    extra = extra.dropDuplicates(["user_id"]).dropDuplicates(["_mail"]).drop("_mail")
+    # Users are read once and, when superusers are few, not shuffled: each side is looked up
+    # by id and by email in one join.
+    wanted = extra.select("user_id", F.explode(_user_keys()).alias("_key"))
+    known = users.select(F.explode(_user_keys()).alias("_key"))
+    met = lookup(known, wanted, ["_key"], "inner", small=within_rows(wanted))
+    missing = extra.join(met.select("user_id").distinct(), "user_id", "left_anti")
+    name, active = F.col("email").alias("name"), F.lit(True).alias("is_active")
+    return users.unionByName(missing.select("user_id", "email", name, active))
+
+
+def _user_keys() -> Column:
+    """What identifies a user: the id, and the email in any case."""
+    mail = F.lower(strip(F.col("email")))
+    return F.array(F.concat(F.lit("id:"), "user_id"), F.concat(F.lit("mail:"), mail))
 
 
 def reader_list(base: DataFrame, extra: DataFrame) -> DataFrame:

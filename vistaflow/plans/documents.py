@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vistaflow.functions import documents as D
 from vistaflow.model import DOCUMENT_SCHEMA, PERMISSIONS, DocumentOptions, ViewDef
-from vistaflow.operators.dedupe import pick_one
+from vistaflow.operators.dedupe import duplicate_keys, pick_one
 from vistaflow.operators.position import with_position
 
 
@@ -53,14 +53,14 @@ def build_documents(
     options: DocumentOptions = DocumentOptions(),
     *,
     acl_id: str | None = None,
-    position: str | None = None,
+    row_name: str | None = None,
     keep_last: bool = False,
 ) -> DataFrame:
     """Documents of a view, one per row, in ``DOCUMENT_SCHEMA``.
 
-    Rows without a key take the row position in column ``position`` when it is given, else
-    a digest of their content, which is the same on every run. ``keep_last`` keeps the last
-    row of each id; it works on the source rows, which are smaller than their documents.
+    Rows without a key are named by column ``row_name`` (see :func:`name_rows`), else by a
+    digest of their content. ``keep_last`` keeps the last row of each id; it works on the
+    source rows, which are smaller than their documents.
     """
     if view.build is not None:
         docs = checked_documents(
@@ -69,8 +69,8 @@ def build_documents(
         if not keep_last:
             return docs
         return pick_one(docs, ["id"], [F.xxhash64("title", "view_url", "body").desc()])
-    rows = df.drop(position) if position else df
-    key = D.key_or(D.row_key(rows, view.key_columns), _fallback(rows, view, position))
+    rows = df.drop(row_name) if row_name else df
+    key = D.key_or(D.row_key(rows, view.key_columns), _fallback(rows, view, row_name))
     keyed = df.withColumn("_key", key)
     if keep_last:
         keyed = pick_one(keyed, ["_key"], last_first(df, view, rows.columns))
@@ -94,10 +94,10 @@ def build_documents(
     )
 
 
-def _fallback(rows: DataFrame, view: ViewDef, position: str | None) -> Column:
+def _fallback(rows: DataFrame, view: ViewDef, row_name: str | None) -> Column:
     if view.complete_keys:
         return F.raise_error(F.lit(f"{view.view_name}: row without a key"))
-    return F.col(position) if position else D.content_key(rows)
+    return F.col(row_name) if row_name else D.content_key(rows)
 
 
 def lacks_keys(df: DataFrame, view: ViewDef) -> bool:
@@ -105,18 +105,39 @@ def lacks_keys(df: DataFrame, view: ViewDef) -> bool:
     return not view.complete_keys and not df.where(D.row_key(df, view.key_columns) == "").isEmpty()
 
 
-def documents_by_position(
-    df: DataFrame, view: ViewDef, options: DocumentOptions = DocumentOptions(), **kwargs
-) -> DataFrame:
-    """As :func:`build_documents`; rows without a key are numbered in row order.
+def name_rows(df: DataFrame, view: ViewDef) -> tuple[DataFrame, str | None]:
+    """Rows with a column that names those without a key; None if no such column is needed.
 
-    Numbering sorts the whole view, so it is done only when some row lacks a key.
+    A view with an order numbers its rows in that order. Otherwise a row is named by a
+    digest of its content, which is the same on every run; further copies of the same row
+    get a number, so that none is lost. Both sort the view, so the key columns are looked
+    at first, and copies are looked for before they are numbered.
     """
+    if view.build is not None or not lacks_keys(df, view):
+        return df, None
     order = [c for c in view.order_columns if c in df.columns]
-    if view.build is not None or not order or not lacks_keys(df, view):
-        return build_documents(df, view, options, **kwargs)
-    placed = with_position(df, order, "_position")
-    return build_documents(placed, view, options, position="_position", **kwargs)
+    if order:
+        return with_position(df, order, "_row"), "_row"
+    keyless = df.where(D.row_key(df, view.key_columns) == "")
+    copies = duplicate_keys(keyless.select(D.content_key(df).alias("_digest")), "_digest")
+    if copies.isEmpty():
+        return df, None
+    placed = with_position(df.withColumn("_digest", D.content_key(df)), ["_digest"], "_place")
+    first = placed.groupBy("_digest").agg(F.min("_place").alias("_first"))
+    numbered = placed.join(first, "_digest")
+    copy = F.col("_place") - F.col("_first")
+    name = F.when(copy == 0, F.col("_digest")).otherwise(
+        F.concat(F.col("_digest"), F.lit(":"), copy.cast("string"))
+    )
+    return numbered.withColumn("_row", name).drop("_digest", "_place", "_first"), "_row"
+
+
+def documents_of_all_rows(
+    df: DataFrame, view: ViewDef, options: DocumentOptions = DocumentOptions(), **kwargs
+) -> DataFrame:
+    """As :func:`build_documents`, with rows without a key named by :func:`name_rows`."""
+    rows, row_name = name_rows(df, view)
+    return build_documents(rows, view, options, row_name=row_name, **kwargs)
 
 
 def checked_documents(docs: DataFrame) -> DataFrame:

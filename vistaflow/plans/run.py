@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vistaflow.model import DocumentOptions, ViewDef
-from vistaflow.operators.position import with_position
 from vistaflow.plans.documents import (
     build_documents,
-    lacks_keys,
+    name_rows,
     needed_columns,
     preview,
     with_anonymous_default,
@@ -142,18 +141,14 @@ def view_documents(
         since=since,
         row_limit=settings.row_limit,
     )
-    position = None
-    order = [c for c in view.order_columns if c in rows.columns]
-    if view.build is None and order and lacks_keys(rows, view):
-        position = "_position"
-        rows = with_position(rows, order, position)
+    rows, row_name = name_rows(rows, view)
     rows, observation = observed_rows(rows, view)
     docs = build_documents(
         rows,
         view,
         settings.options,
         acl_id=settings.acl_id,
-        position=position,
+        row_name=row_name,
         keep_last=True,
     )
     if settings.allow_anonymous:

@@ -20,7 +20,7 @@ from vistaflow.operators.quality import (
 from vistaflow.operators.upsert import diff, upsert
 from vistaflow.plans.documents import (
     build_documents,
-    documents_by_position,
+    documents_of_all_rows,
     permissions,
     preview,
     union_documents,
@@ -97,7 +97,7 @@ def doc_id(spark, folder):
     """Rows without a key take their position among all rows."""
     view = ViewDef("v_Document_Label", "labelled", "quality", order_columns=("doc_id",))
     df = catalog(spark, folder).frame("v_Document_Label").drop("text")
-    docs = documents_by_position(df, view)
+    docs = documents_of_all_rows(df, view)
     return docs.select(body_field("doc_id", "long"), "id")
 
 
