@@ -11,6 +11,7 @@ from vistaflow.functions.identity import display_name, normalized, user_id
 from vistaflow.functions.values import strip
 from vistaflow.operators.dedupe import first_wins
 from vistaflow.operators.lookup import lookup, within_rows
+from vistaflow.session import staged
 
 
 def users_with_groups(members: DataFrame) -> DataFrame:
@@ -47,6 +48,7 @@ def with_superusers(users: DataFrame, superusers: DataFrame) -> DataFrame:
     ).where("user_id <> '' AND email <> ''")
     extra = extra.withColumn("_mail", F.lower("email"))
     extra = extra.dropDuplicates(["user_id"]).dropDuplicates(["_mail"]).drop("_mail")
+    extra = staged(extra, "superusers")  # read three times below
     # Users are read once and, when superusers are few, not shuffled: each side is looked up
     # by id and by email in one join.
     wanted = extra.select("user_id", F.explode(_user_keys()).alias("_key"))
