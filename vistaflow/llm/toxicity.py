@@ -16,7 +16,7 @@ from vistaflow.session import staged
 
 WIDTH = 5  # characters of a feature
 BUCKETS = 1 << 18
-FEATURES = 4_096
+FEATURES = 1_024
 TRAIN_ROWS = 24_000  # documented bound: labelled rows that the classifier is fitted on
 MIN_DOCUMENTS = 4
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
@@ -182,8 +182,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     sample = rows.mapInArrow(select, listed).toPandas()  # bounded by train_rows
     lengths = sample["features"].map(len).to_numpy()
-    feature = np.concatenate([*sample["features"].to_list(), np.zeros(0, np.int64)]).astype(np.int64)
-    weights, bias = fit(np.repeat(np.arange(len(sample)), lengths), feature,
+    feature = np.concatenate([*sample["features"].to_list(), np.zeros(0, np.int32)]).astype(np.int32)
+    weights, bias = fit(np.repeat(np.arange(len(sample), dtype=np.int32), lengths), feature,
                         sample["label"].to_numpy() == 1, prior, len(buckets))
     return Model(buckets, weights, bias)
 
