@@ -292,10 +292,13 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
         F.xxhash64(F.lit(b), F.substring("signature", 4 * BAND * b + 1, 4 * BAND))
         for b in range(HASHES // BAND)
     ])
-    entries = nodes.select("node", F.explode(bands).alias("bucket"))
+    # 8 bytes stand for a node here; two nodes with one handle only meet in more buckets.
+    nodes = nodes.withColumn("handle", F.xxhash64("node"))
+    entries = nodes.select("handle", F.explode(bands).alias("bucket"))
     full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     entries = staged(entries.join(full, "bucket"), "buckets")
-    members = nodes.select("node", "signature").join(in_blocks(entries, "bucket", BUCKET_BLOCK), "node")
+    members = measured_join(nodes.select("handle", "node", "signature"), entries, "handle")
+    members = in_blocks(members, "bucket", BUCKET_BLOCK)
 
     def compare(batches):
         for table in group_runs(batches, ["bucket", "low", "high"]):
@@ -316,7 +319,9 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     clusters = staged(components(candidates), "clusters")
 
     # The shingle sets of the nodes of clusters, from one document of each.
-    wanted = staged(clusters.join(nodes, "node").select("node", "root", "least", "copies", "signature"), "wanted")
+    wanted = staged(
+        measured_join(nodes, clusters, "node").select("node", "root", "least", "copies", "signature"),
+        "wanted")
 
     def shingles(batches):
         for batch in slices(batches):
