@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from vistaflow.functions.render import RESOLUTIONS, rendered
 from vistaflow.model import DocumentOptions, ViewDef
 from vistaflow.operators.upsert import diff, upsert
+from vistaflow.plans.documents import build_documents
 from vistaflow.plans.index import DocumentIndex
 from vistaflow.plans.run import RunSettings, run_index, run_preview
 from vistaflow.plans.state import SyncState, ViewState
@@ -46,7 +48,7 @@ def keys(df):
         ("2026-05-01 09:00:00", 1, [2, 3]),
         ("2026-05-01 09:00:00", 3, [2, 3, 4]),
         ("2026-05-06 09:00:00", 0, []),
-        (None, 1, [5]),
+        (None, 1, [1, 5]),
         (None, 3, [1, 2, 3, 5]),
         (None, 99, [1, 2, 3, 4, 5]),
     ],
@@ -55,6 +57,17 @@ def test_scan(company, since, cap, expected):
     assert keys(scan(company, VIEW, since=since, row_limit=cap)) == expected
 
 
+def test_capped_runs_get_past_rows_without_a_watermark(spark):
+    rows = [(i, "x", None) for i in range(5)] + [(10 + i, "y", at(i + 1)) for i in range(5)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    since, read = None, []
+    for _ in range(5):
+        part = scan(df, VIEW, since=since, row_limit=2)
+        read += keys(part)
+        since = newest_watermark(part, VIEW).first()["watermark"] or since
+    assert sorted(read) == keys(df)
+
+
 def test_scan_without_watermark(company):
     view = ViewDef("v", "c", "CompanyID")
     assert len(keys(scan(company, view, since="2026-05-01", row_limit=2))) == 2
@@ -256,11 +269,28 @@ def test_views_that_share_a_type_give_one_document_per_id(spark, job):
 def test_rows_without_keys_are_numbered(spark, job):
     view = ViewDef("v_N", "n", "CompanyID", title_columns=("Name",), order_columns=("Name",))
     rows = frame(spark, (None, "b", None), (None, "a", None), (7, "c", None))
-    report = job.run([(view, rows)])
+    report = job.run([(view, rows)], RunSettings(incremental=False, full_refresh=True))
     assert report.results[0].records == 3
     assert job.found() == [("n:0", "a"), ("n:1", "b"), ("n:7", "c")]
 
 
+def test_rows_without_keys_survive_later_runs(spark, job):
+    view = replace(VIEW, order_columns=("Name",))
+    job.run([(view, frame(spark, (None, "first", at(1)), (None, "second", at(2))))])
+    job.run([(view, frame(spark, (None, "third", at(3)), (None, "third", at(3))))])
+    assert [title for _, title in job.found()].count("third") == 2
+    assert {title for _, title in job.found()} == {"first", "second", "third"}
+
+
+def test_a_watermark_moves_without_documents(spark, job):
+    job.run([(VIEW, frame(spark, (1, "a", at(1))))])
+    nothing = replace(VIEW, build=lambda df, **_: build_documents(df, VIEW).where("id = 'none'"))
+    for day in (2, 3):
+        job.run([(nothing, frame(spark, (day, "b", at(day))))])
+    assert job.state.load()["v_Company"].watermark.startswith("2026-05-03")
+    assert [title for _, title in job.found()] == ["a"]
+
+
 def test_compaction_keeps_the_documents(spark, job):
     for day in (1, 2, 3):
         job.run([(VIEW, frame(spark, (day % 2, f"t{day}", at(day))))])

@@ -20,7 +20,8 @@ def object_type_of(view_name: Column) -> Column:
 
 def label_of(name: Column) -> Column:
     """``orderLine`` or ``order_line`` -> ``Order Line``."""
-    spaced = F.regexp_replace(F.replace(name, F.lit("_"), F.lit(" ")), "(?<!^)(?=[A-Z])", " ")
+    parted = F.translate(name, "_", " ")
+    spaced = F.regexp_replace(parted, "([A-Z])", " $1")  # a capital begins a word
     words = F.split(strip(spaced), r"(?<=\P{L})")
     return F.array_join(F.transform(words, _capitalized), "")
 

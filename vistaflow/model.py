@@ -44,7 +44,7 @@ DOCUMENT_SCHEMA = T.StructType(
 def require_identifier(name: Any, what: str) -> str:
     """Return ``name`` if it holds only letters, digits and underscores."""
     if not isinstance(name, str) or not IDENTIFIER.fullmatch(name):
-        raise ValueError(f"{what} must contain only letters, digits, and underscores: {name!r}")
+        raise ValueError(f"{what} {name!r} is no plain name")
     return name
 
 

@@ -53,7 +53,7 @@ def as_filters(given: str | Iterable[Filter | dict] | None) -> list[Filter]:
         return []
     items = json.loads(given) if isinstance(given, str) else given
     if isinstance(items, dict) or not isinstance(items, Iterable):
-        raise ValueError("filters must be an array of filter objects.")
+        raise ValueError("a list of filters is needed.")
     return [_checked(i) for i in items]
 
 
@@ -61,17 +61,19 @@ def _checked(item: Filter | dict) -> Filter:
     if isinstance(item, dict):
         item = Filter(item.get("column"), item.get("op"), item.get("value"))
     if not isinstance(item, Filter):
-        raise ValueError("each filter must be an object with 'column' and 'op'.")
+        raise ValueError("a filter needs a column and an op.")
     require_identifier(item.column, "filter column")
     op, value = item.op, item.value
+    if not isinstance(op, str):
+        raise ValueError(f"op {op!r} is no text.")
     if op in COMPARE:
         good = value is not None and not isinstance(value, (list, tuple, dict))
     elif op in TEXT:
         good = isinstance(value, str)
     elif op == "between":
-        good = isinstance(value, (list, tuple)) and len(value) == 2
+        good = isinstance(value, (list, tuple)) and len(value) == 2 and plain_values(value)
     elif op == "in":
-        good = isinstance(value, (list, tuple)) and len(value) >= 1
+        good = isinstance(value, (list, tuple)) and len(value) >= 1 and plain_values(value)
     elif op in NULLS:
         good = True
     else:
@@ -81,6 +83,10 @@ def _checked(item: Filter | dict) -> Filter:
     return item
 
 
+def plain_values(values: Iterable[Any]) -> bool:
+    return not any(isinstance(v, (list, tuple, dict, set)) for v in values)
+
+
 def typed(value: Any, data_type: T.DataType) -> Column:
     """A literal compared in the column's type: text is cast, numbers stay and widen."""
     if isinstance(value, str) and not isinstance(data_type, T.StringType):
@@ -88,11 +94,6 @@ def typed(value: Any, data_type: T.DataType) -> Column:
     return F.lit(value)
 
 
-def typed_column(col: Column, given: T.DataType, data_type: T.DataType) -> Column:
-    """Column form of :func:`typed`."""
-    return (col.cast(data_type) if isinstance(given, T.StringType) else col).alias("v")
-
-
 def predicate(df: DataFrame, f: Filter) -> Column:
     field = resolve(df, f.column, "filter column")
     col, dt = F.col(f"`{field.name}`"), field.dataType
@@ -118,11 +119,29 @@ def apply_filters(df: DataFrame, filters: Iterable[Filter]) -> DataFrame:
     return out
 
 
+def value_frame(df: DataFrame, values: Iterable[Any], data_type: T.DataType) -> DataFrame:
+    """Values as rows, typed one by one as :func:`typed` does, then widened together.
+
+    Null equals nothing, so it is left out.
+    """
+    kinds: dict[type, list] = {}
+    for v in dict.fromkeys(values):
+        if v is not None:
+            kinds.setdefault(type(v), []).append((v,))
+    frames = []
+    for kind, rows in sorted(kinds.items(), key=lambda k: k[0].__name__):
+        frame = df.sparkSession.createDataFrame(rows, ["v"])
+        text = kind is str and not isinstance(data_type, T.StringType)
+        frames.append(frame.select(F.col("v").cast(data_type).alias("v")) if text else frame)
+    if not frames:
+        return df.sparkSession.createDataFrame([], T.StructType([T.StructField("v", data_type)]))
+    return reduce(DataFrame.union, frames)
+
+
 def _in_list(df: DataFrame, f: Filter) -> DataFrame:
     """A long value list as a semi-join, broadcast if the request lists few enough."""
     field = resolve(df, f.column, "filter column")
-    values = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(f.value)], ["v"])
-    values = values.select(typed_column(F.col("v"), values.schema["v"].dataType, field.dataType))
+    values = value_frame(df, f.value, field.dataType)
     if len(f.value) <= BROADCAST_ROWS:
         values = F.broadcast(values)
     return df.join(values, df[field.name] == values["v"], "left_semi")

@@ -19,7 +19,7 @@ def column_list(text: str | Iterable[str] | None) -> list[str]:
     parts = text.split(",") if isinstance(text, str) else list(text)
     names = [p.strip() for p in parts if p.strip()]
     if not names:
-        raise ValueError("select_columns cannot be empty.")
+        raise ValueError("the select list names no column")
     return names
 
 

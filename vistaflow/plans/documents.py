@@ -105,31 +105,36 @@ def lacks_keys(df: DataFrame, view: ViewDef) -> bool:
     return not view.complete_keys and not df.where(D.row_key(df, view.key_columns) == "").isEmpty()
 
 
-def name_rows(df: DataFrame, view: ViewDef) -> tuple[DataFrame, str | None]:
+def name_rows(
+    df: DataFrame, view: ViewDef, *, positions: bool = True
+) -> tuple[DataFrame, str | None]:
     """Rows with a column that names those without a key; None if no such column is needed.
 
-    A view with an order numbers its rows in that order. Otherwise a row is named by a
-    digest of its content, which is the same on every run; further copies of the same row
-    get a number, so that none is lost. Both sort the view, so the key columns are looked
-    at first, and copies are looked for before they are numbered.
+    A view with an order numbers its rows in that order, if ``positions`` may be used: a
+    later run that reads only new rows would use the same numbers again. Otherwise a row is
+    named by a digest of its content, which is the same on every run; further copies of the
+    same row get a number, so that none is lost. The key columns are looked at first, copies
+    are looked for before they are numbered, and only rows without a key are sorted.
     """
     if view.build is not None or not lacks_keys(df, view):
         return df, None
     order = [c for c in view.order_columns if c in df.columns]
-    if order:
+    if order and positions:
         return with_position(df, order, "_row"), "_row"
     keyless = df.where(D.row_key(df, view.key_columns) == "")
     copies = duplicate_keys(keyless.select(D.content_key(df).alias("_digest")), "_digest")
     if copies.isEmpty():
         return df, None
-    placed = with_position(df.withColumn("_digest", D.content_key(df)), ["_digest"], "_place")
+    placed = with_position(keyless.withColumn("_digest", D.content_key(df)), ["_digest"], "_place")
     first = placed.groupBy("_digest").agg(F.min("_place").alias("_first"))
     numbered = placed.join(first, "_digest")
     copy = F.col("_place") - F.col("_first")
     name = F.when(copy == 0, F.col("_digest")).otherwise(
         F.concat(F.col("_digest"), F.lit(":"), copy.cast("string"))
     )
-    return numbered.withColumn("_row", name).drop("_digest", "_place", "_first"), "_row"
+    named = numbered.withColumn("_row", name).drop("_digest", "_place", "_first")
+    keyed = df.where(D.row_key(df, view.key_columns) != "")
+    return named.unionByName(keyed.withColumn("_row", F.lit(None).cast("string"))), "_row"
 
 
 def documents_of_all_rows(
@@ -140,6 +145,22 @@ def documents_of_all_rows(
     return build_documents(rows, view, options, row_name=row_name, **kwargs)
 
 
+def shaped_documents(
+    rows: DataFrame,
+    view: ViewDef,
+    options: DocumentOptions = DocumentOptions(),
+    *,
+    acl_id: str | None = None,
+    allow_anonymous: bool = False,
+) -> DataFrame:
+    """Newest documents of rows that join earlier ones: named by content, opened if asked."""
+    named, row_name = name_rows(rows, view, positions=False)
+    docs = build_documents(
+        named, view, options, acl_id=acl_id, row_name=row_name, keep_last=True
+    )
+    return with_anonymous_default(docs) if allow_anonymous else docs
+
+
 def checked_documents(docs: DataFrame) -> DataFrame:
     """A custom builder's result with the document columns in order, or ValueError."""
     missing = [f.name for f in DOCUMENT_SCHEMA.fields if f.name not in docs.columns]

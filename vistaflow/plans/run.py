@@ -132,7 +132,12 @@ def read_metrics(view: ViewDef, seen: Observation, written: int) -> dict:
 
 
 def view_documents(
-    df: DataFrame, view: ViewDef, since: str | None, settings: RunSettings
+    df: DataFrame,
+    view: ViewDef,
+    since: str | None,
+    settings: RunSettings,
+    *,
+    positions: bool = True,
 ) -> tuple[DataFrame, Observation]:
     """Lazy documents of one view with the observation of the rows they come from."""
     rows = scan(
@@ -141,7 +146,8 @@ def view_documents(
         since=since,
         row_limit=settings.row_limit,
     )
-    rows, row_name = name_rows(rows, view)
+    # An incremental run adds to earlier documents, so its names must not depend on rank.
+    rows, row_name = name_rows(rows, view, positions=positions)
     rows, observation = observed_rows(rows, view)
     docs = build_documents(
         rows,
@@ -190,7 +196,9 @@ def run_index(
         since = old.watermark if use_saved else None
         mode = "incremental" if since else "full"
         try:
-            docs, seen = view_documents(catalog.frame(name), view, since, settings)
+            docs, seen = view_documents(
+                catalog.frame(name), view, since, settings, positions=not use_saved
+            )
             written = index.write_batch(name, old.last_batch + 1, docs)
             metrics = read_metrics(view, seen, written)
             return ViewResult(
@@ -200,7 +208,8 @@ def run_index(
             return ViewResult(name, mode, since, False, error=str(exc).split("\n", 1)[0])
 
     results = _each_view(catalog.definitions(), settings, one)
-    if any(r.documents for r in results):
+    moved = use_saved and any(r.ok and r.records and r.watermark for r in results)
+    if moved or any(r.documents for r in results):
         users_ok = user_error is None
         state.save(_next_state(saved, results, settings, now().isoformat(), users_ok))
     return RunReport(results, user_error)
@@ -232,12 +241,14 @@ def _next_state(
 ) -> dict[str, ViewState]:
     views = dict(saved)
     for r in results:
-        if not r.ok or not (r.documents or settings.full_refresh):
+        if not r.ok or not (r.documents or r.records or settings.full_refresh):
             continue  # failed, or nothing new: the old entry stays
         old = saved.get(r.view, ViewState(r.view))
-        batch = old.last_batch + 1
-        base = batch if settings.full_refresh or old.last_batch < 0 else old.base_batch
-        new = replace(old, base_batch=base, last_batch=batch)
+        new = old
+        if r.documents or settings.full_refresh:
+            batch = old.last_batch + 1
+            base = batch if settings.full_refresh or old.last_batch < 0 else old.base_batch
+            new = replace(old, base_batch=base, last_batch=batch)
         if settings.incremental and users_ok and r.watermark is not None:
             new = replace(new, watermark=r.watermark, count=r.records, last_run=stamp)
         views[r.view] = new

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,18 +18,26 @@ RECOMMENDED = {
 
 
 SHUFFLE_BYTES = 128 * 1024 * 1024
-# Beyond this the driver's bookkeeping costs more than larger partitions that may spill.
+# Beyond this the driver's bookkeeping may cost more than larger partitions that spill.
 MAX_SHUFFLE_PARTITIONS = 100_000
 
 
-def sized_settings(input_bytes: int, cores: int) -> dict[str, str]:
+def sized_settings(
+    input_bytes: int, cores: int, max_partitions: int = MAX_SHUFFLE_PARTITIONS
+) -> dict[str, str]:
     """Settings for a job over ``input_bytes``: shuffle partitions of about 128 MB.
 
     Spark starts with this many and merges small ones, so an estimate on the high side
     costs little while one on the low side spills.
     """
     wanted = max(2 * cores, -(-input_bytes // SHUFFLE_BYTES))
-    partitions = min(wanted, MAX_SHUFFLE_PARTITIONS)
+    partitions = min(wanted, max_partitions)
+    if partitions < wanted:
+        warnings.warn(
+            f"{wanted} shuffle partitions of {SHUFFLE_BYTES} bytes are wanted, "
+            f"max_partitions allows {partitions}; they get larger and may spill",
+            stacklevel=2,
+        )
     return {
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SHUFFLE_BYTES),

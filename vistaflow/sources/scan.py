@@ -19,9 +19,9 @@ def scan(
     """Rows of a view: all of them, or those strictly newer than ``since``.
 
     With ``row_limit`` the oldest rows come first and ties at the cut are all read, so the
-    saved watermark never skips an unread row; rows without a watermark (read by full scans
-    only) count as oldest. Without a watermark column the cap is a
-    plain limit and ``since`` is ignored.
+    saved watermark never skips an unread row. Rows without a watermark are read by full
+    scans only, all of them and beside the cap, so capped runs always get on. Without a
+    watermark column the cap is a plain limit and ``since`` is ignored.
     """
     limit = max(0, row_limit)
     wm = view.watermark_column if view.watermark_column in df.columns else None
@@ -32,7 +32,8 @@ def scan(
         rows = rows.where(F.col(wm) > watermark_literal(df, wm, since))
     if not limit:
         return rows
-    cut = rows.select(wm).orderBy(F.asc_nulls_first(wm)).limit(limit).agg(F.max(wm).alias("cut"))
+    dated = rows.where(F.col(wm).isNotNull()).select(wm)
+    cut = dated.orderBy(wm).limit(limit).agg(F.max(wm).alias("cut"))
     within = F.col(wm) <= cut.scalar()
     return rows.where(within if since is not None else F.col(wm).isNull() | within)
 

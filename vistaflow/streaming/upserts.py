@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from vistaflow.model import DocumentOptions, ViewDef
-from vistaflow.plans.documents import build_documents, needed_columns
+from vistaflow.plans.documents import needed_columns, shaped_documents
 from vistaflow.plans.index import DocumentIndex
 from vistaflow.plans.state import ViewState
 from vistaflow.sources.files import folder_names
@@ -20,16 +20,21 @@ def stream_documents(
     options: DocumentOptions = DocumentOptions(),
     *,
     shift: int = 0,
+    acl_id: str | None = None,
+    allow_anonymous: bool = False,
 ) -> StreamingQuery:
     """Upsert the documents of all rows that have arrived, then stop.
 
     The epoch is the batch number of the index: an epoch that is run again after a failure
     replaces its own batch. The checkpoint is the commit; there is no second state to keep.
-    ``shift`` is the number of compactions so far; each took one batch number.
+    ``shift`` is the number of compactions so far; each took one batch number. Rows are named
+    and opened as in an incremental run: ``acl_id`` names their reader list.
     """
 
     def write(batch: DataFrame, epoch: int) -> None:
-        docs = build_documents(batch, view, options, keep_last=True)
+        docs = shaped_documents(
+            batch, view, options, acl_id=acl_id, allow_anonymous=allow_anonymous
+        )
         index.write_batch(view.view_name, epoch + shift, docs)
 
     return (
