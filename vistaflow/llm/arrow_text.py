@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 

@@ -23,7 +23,9 @@ LETTER, NUMBER, OTHER, JOINING_SPACE, LONE_SPACE, INNER_SPACE, SHORT_FORM, LONG_
 # States: after a finished piece, in a run of letters, numbers, other characters, after a space
 # that joins what follows, in a run of white space, with one or two letters of a contraction due.
 FRESH, IN_LETTERS, IN_NUMBERS, IN_OTHERS, JOINED, IN_SPACE, ONE_LEFT, TWO_LEFT = range(8)
-CACHE_PIECES = 400_000
+CACHE_PIECES = 200_000
+MERGE_ROWS = 4_096
+ENCODE_BYTES = 1 << 20  # of texts encoded at a time
 LONG_PIECE = 64
 BLOCK = 256
 
@@ -200,26 +202,28 @@ class Merger:
         at = np.searchsorted(self.keys, wanted)
         return np.where(self.keys[at] == wanted, self.merged[at], self.NONE)
 
-    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces, one after the other, and how many each piece has."""
-        counts = np.empty(len(pieces), np.int64)
-        found: list = [None] * len(pieces)
-        short = []
-        for i, piece in enumerate(pieces):
-            if len(piece) > LONG_PIECE:
-                found[i] = np.array(self.merge_long(piece), np.int32)
-                counts[i] = len(found[i])
-            else:
-                short.append(i)
-        if short:
-            lengths = np.array([len(pieces[i]) for i in short])
-            ids, sizes = self._merge_short(b"".join(pieces[i] for i in short), lengths)
-            counts[short] = sizes
-            if len(short) == len(pieces):
-                return ids, counts
-            for i, part in zip(short, np.split(ids, np.cumsum(sizes)[:-1])):
-                found[i] = part
-        return np.concatenate(found) if found else np.zeros(0, np.int32), counts
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all pieces in any order, and where each piece's ids begin and how many it has.
+
+        Pieces of similar length are merged together, MERGE_ROWS at a time, which bounds the
+        tables of a round.
+        """
+        counts, starts = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        order, found, used = np.argsort(lengths, kind="stable"), [], 0
+        short = order[: np.searchsorted(lengths[order], LONG_PIECE, "right")]
+        for first in range(0, len(short), MERGE_ROWS):
+            part = short[first : first + MERGE_ROWS]
+            ids, sizes = self._merge_short(b"".join(pieces[i] for i in part), lengths[part])
+            starts[part], counts[part] = used + np.cumsum(sizes) - sizes, sizes
+            found.append(ids)
+            used += len(ids)
+        for i in order[len(short) :]:
+            ids = np.array(self.merge_long(pieces[i]), np.int32)
+            starts[i], counts[i] = used, len(ids)
+            found.append(ids)
+            used += len(ids)
+        return np.concatenate(found) if found else np.zeros(0, np.int32), starts, counts
 
     def _merge_short(self, joined: bytes, lengths: np.ndarray):
         """Rows of ids, one for each piece, with one merge in each live row and round."""
@@ -298,7 +302,7 @@ class Merger:
         slot = self.slot
         missing = [p for p in pieces if p not in slot]
         if missing:
-            ids, counts = self.merge(missing)
+            ids, starts, counts = self.merge(missing)
             while self.used + len(ids) > len(self.store):
                 self.store = np.concatenate((self.store, np.zeros_like(self.store)))
             known = len(slot)
@@ -306,7 +310,7 @@ class Merger:
                 self.starts = np.concatenate((self.starts, np.zeros_like(self.starts)))
                 self.counts = np.concatenate((self.counts, np.zeros_like(self.counts)))
             self.store[self.used : self.used + len(ids)] = ids
-            self.starts[known : known + len(missing)] = self.used + np.cumsum(counts) - counts
+            self.starts[known : known + len(missing)] = self.used + starts
             self.counts[known : known + len(missing)] = counts
             self.used += len(ids)
             slot.update(zip(missing, range(known, known + len(missing))))
@@ -384,7 +388,7 @@ def encode_decode(docs: DataFrame, rank_file: bytes, id_col: str = "doc_id",
 
     def run(batches):
         encoder = Encoder(read_ranks(rank_file))
-        for batch in slices(batches, text_col):
+        for batch in slices(batches, text_col, ENCODE_BYTES):
             ids, at = encoder.encode(batch.column(text_col))
             body, token_at = encoder.merger.decode(ids)
             byte_at = np.append(token_at, len(body))[at]
