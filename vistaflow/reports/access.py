@@ -26,6 +26,9 @@ ALLOWED = {
     "orderCustomer": ["view", "nobody"],
 }
 
+REQUESTED = "CASE WHEN hour(ts) < 3 THEN 'V_NIGHT' ELSE 'V_DAY' END || day(ts)"
+
+
 @report("grants_normalized", f"SELECT * FROM {GRANTS_SQL}")
 def grants_normalized(spark, folder):
     return grants(spark, folder)
@@ -127,11 +130,11 @@ def acl_merge(spark, folder):
 @report(
     "access_allowed",
     f"""
-    SELECT event_id AS request_id, 'V_DAY' || day(ts) AS view_name,
+    SELECT event_id AS request_id, {REQUESTED} AS view_name,
            ' USER' || user_id || '@example.COM' AS user_email
     FROM events e
     WHERE EXISTS (SELECT 1 FROM {GRANTS_SQL} g
-                  WHERE g.view = 'v_day' || day(ts) AND g.email = {EMAIL})
+                  WHERE g.view = lower({REQUESTED}) AND g.email = {EMAIL})
     """,
 )
 def access_allowed(spark, folder):
@@ -141,21 +144,20 @@ def access_allowed(spark, folder):
 @report(
     "access_audit",
     f"""
-    WITH g AS (SELECT DISTINCT * FROM {GRANTS_SQL} WHERE view <> 'v_day3'),
-         r AS (SELECT event_id, 'v_day' || day(ts) AS v, {EMAIL} AS m, user_id, ts FROM events),
+    WITH g AS (SELECT DISTINCT * FROM {GRANTS_SQL}),
+         r AS (SELECT event_id, lower({REQUESTED}) AS v, {EMAIL} AS m, user_id, ts FROM events),
          x AS (SELECT r.*, CASE WHEN m IN (SELECT email FROM {SUPERUSERS_SQL}) THEN 'superuser'
                     WHEN (v, m) IN (SELECT (view, email) FROM g) THEN 'granted'
                     WHEN v IN (SELECT view FROM g) THEN 'not_granted'
                     ELSE 'view_not_listed' END AS reason FROM r)
-    SELECT event_id AS request_id, 'V_DAY' || day(ts) AS view_name,
+    SELECT event_id AS request_id, {REQUESTED} AS view_name,
            ' USER' || user_id || '@example.COM' AS user_email,
            reason IN ('superuser', 'granted') AS allowed, reason
     FROM x
     """,
 )
 def access_audit(spark, folder):
-    listed = grants(spark, folder).where("view <> 'v_day3'")
-    return A.audit(request_rows(spark, folder), listed, superusers(spark, folder))
+    return A.audit(request_rows(spark, folder), grants(spark, folder), superusers(spark, folder))
 
 
 @report(

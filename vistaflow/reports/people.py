@@ -12,11 +12,18 @@ from vistaflow.sources.sample import grant_rows, group_rows, superuser_rows
 
 USERS_SQL = f"""
     (SELECT {EMAIL} AS email,
-            list_sort(list(DISTINCT event_type) FILTER (WHERE event_type <> 'error')) AS groups,
-            max(CASE WHEN event_type = 'signup' THEN 'User ' || user_id END) AS name
+            coalesce(list_sort(list(DISTINCT event_type) FILTER (
+                WHERE (event_type IN ('view', 'click') AND user_id % 4 IN (1, 2))
+                   OR (event_type IN ('purchase', 'signup') AND user_id % 4 IN (2, 3)))),
+                CAST([] AS VARCHAR[])) AS groups,
+            max(CASE WHEN event_type = 'signup' AND user_id % 5 <> 0 THEN 'User ' || user_id END) AS name
      FROM events GROUP BY ALL)
 """
-SUPERUSERS_SQL = f"(SELECT DISTINCT {EMAIL} AS email FROM events WHERE event_type = 'error' AND value < 20)"
+SUPERUSERS_SQL = """
+    (SELECT DISTINCT lower(CASE WHEN user_id % 10 IN (0, 3) THEN 'User' ELSE 'Ops' END
+                           || user_id || '@Example.com') AS email
+     FROM events WHERE event_type = 'error' AND value < 20)
+"""
 GRANTS_SQL = f"""
     (SELECT 'v_day' || day(ts) AS view, {EMAIL} AS email FROM events WHERE event_type = 'purchase')
 """

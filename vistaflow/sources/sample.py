@@ -104,13 +104,19 @@ def catalog(spark: SparkSession, folder: str) -> ViewCatalog:
 
 
 def group_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Directory rows (Email, GroupName, DisplayName, ord): one per event of a user."""
+    """Directory rows (Email, GroupName, DisplayName, ord): one per event of a user.
+
+    Users have all groups, half of them or none by their number; every fifth has no name.
+    """
     events = table(spark, folder, "events")
-    user = F.col("user_id").cast("string")
-    named = F.when(F.col("event_type") == "signup", F.concat(F.lit(" User "), user))
+    user, kind = F.col("user_id").cast("string"), F.col("user_id") % 4
+    signed_up = (F.col("event_type") == "signup") & (F.col("user_id") % 5 != 0)
+    named = F.when(signed_up, F.concat(F.lit(" User "), user))
+    reads = F.col("event_type").isin("view", "click") & kind.isin(1, 2)
+    buys = F.col("event_type").isin("purchase", "signup") & kind.isin(2, 3)
     return events.select(
         F.concat(F.lit(" User"), user, F.lit("@Example.com ")).alias("Email"),
-        F.when(F.col("event_type") != "error", F.col("event_type")).alias("GroupName"),
+        F.when(reads | buys, F.col("event_type")).alias("GroupName"),
         named.alias("DisplayName"),
         F.col("event_id").alias("ord"),
     )
@@ -126,19 +132,26 @@ def grant_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def request_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """A log of view requests: every event is one."""
+    """A log of view requests: every event is one; nobody is granted the views of the night."""
+    part = F.when(F.hour("ts") < 3, "V_NIGHT").otherwise("V_DAY")
     return table(spark, folder, "events").select(
         F.col("event_id").alias("request_id"),
-        F.concat(F.lit("V_DAY"), F.dayofmonth("ts").cast("string")).alias("view_name"),
+        F.concat(part, F.dayofmonth("ts").cast("string")).alias("view_name"),
         F.concat(F.lit(" USER"), F.col("user_id").cast("string"), F.lit("@example.COM")).alias("user_email"),
     )
 
 
 def superuser_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Settings texts: a JSON array with an email, a number and a blank; some are broken."""
+    """Settings texts: a JSON array with an email, a number and a blank; some are broken.
+
+    A fifth of the emails belong to users, half of those without a name; the others are in
+    no directory.
+    """
     errors = table(spark, folder, "events").where(F.col("event_type") == "error")
     user = F.col("user_id").cast("string")
-    good = F.concat(F.lit('["User'), user, F.lit('@Example.com ", '), user, F.lit(', " "]'))
+    owner = F.when((F.col("user_id") % 10).isin(0, 3), "User").otherwise("Ops")
+    mail = F.concat(owner, user, F.lit("@Example.com "))
+    good = F.concat(F.lit('["'), mail, F.lit('", '), user, F.lit(', " "]'))
     broken = F.concat(F.lit('["broken'), user)
     return errors.select(F.when(F.col("value") < 20, good).otherwise(broken).alias("raw"))
 
