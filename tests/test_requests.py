@@ -25,6 +25,9 @@ def test_calls_need_a_grant(spark, catalog):
     assert calls.aggregate("a@x.example", "v_Lots", "count").first()[0] == 2
     assert calls.columns("ROOT@x.example", "v_Other").count() == 1
     assert [r[0] for r in calls.views().collect()] == ["v_Lots", "v_Other"]
+    assert calls.query("a@x.example", "V_LOTS", limit=1).count() == 1
+    assert tuple(calls.query_envelope("a@x.example", "v_lots", limit=1).first()) == (1, True)
+    assert tuple(calls.query_envelope("a@x.example", "v_lots").first()) == (2, False)
     with pytest.raises(PermissionError):
         calls.query("a@x.example", "v_Other")
     with pytest.raises(PermissionError):

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 
 from vistaflow.model import require_identifier
 from vistaflow.operators.access import may_access
-from vistaflow.plans.query import aggregate, query
+from vistaflow.operators.shaping import coerce_output, envelope
+from vistaflow.plans.query import DEFAULT_LIMIT, aggregate, query
 from vistaflow.sources.catalog import ViewCatalog
 
 
@@ -33,7 +34,8 @@ class ViewRequests:
     """List and describe views, query rows, aggregate.
 
     A bad argument is a ValueError, a denied view a PermissionError and an unknown one a
-    LookupError. Results are lazy DataFrames; the caller decides how to take them.
+    LookupError. View names match in any case. Results are lazy DataFrames of values as a
+    response shows them; the caller decides how to take them.
     """
 
     def __init__(self, catalog: ViewCatalog, rules: AccessRules = AccessRules()) -> None:
@@ -44,21 +46,31 @@ class ViewRequests:
         return self.catalog.list_views()
 
     def columns(self, user_email: str, view_name: str) -> DataFrame:
-        self._permitted(user_email, view_name)
-        return self.catalog.list_columns(view_name)
+        return self.catalog.list_columns(self._permitted(user_email, view_name))
 
     def query(self, user_email: str, view_name: str, **arguments) -> DataFrame:
         """See plans.query.query for the arguments."""
-        return query(self._permitted(user_email, view_name), **arguments)
+        return coerce_output(query(self._rows(user_email, view_name), **arguments))
+
+    def query_envelope(self, user_email: str, view_name: str, **arguments) -> DataFrame:
+        """How many rows the same :meth:`query` gives, and whether its limit cut more off."""
+        rows = query(self._rows(user_email, view_name), **arguments)
+        return envelope(rows, arguments.get("limit", DEFAULT_LIMIT))
 
     def aggregate(
         self, user_email: str, view_name: str, aggregation: str, **arguments
     ) -> DataFrame:
         """See plans.query.aggregate for the arguments."""
-        return aggregate(self._permitted(user_email, view_name), aggregation, **arguments)
+        rows = self._rows(user_email, view_name)
+        return coerce_output(aggregate(rows, aggregation, **arguments))
+
+    def _rows(self, user_email: str, view_name: str) -> DataFrame:
+        return self.catalog.frame(self._permitted(user_email, view_name))
 
-    def _permitted(self, user_email: str, view_name: str) -> DataFrame:
+    def _permitted(self, user_email: str, view_name: str) -> str:
+        """The registered name of a view the user may read."""
         require_identifier(view_name, "view_name")
         if not self.rules.allow(user_email, view_name):
             raise PermissionError(f"No access to view {view_name!r}.")
-        return self.catalog.frame(view_name)
+        same = [n for n in self.catalog.view_names() if n.lower() == view_name.lower()]
+        return same[0] if len(same) == 1 else view_name

@@ -13,6 +13,7 @@ from vistaflow.operators.shaping import (
     without_matching,
 )
 from vistaflow.plans.query import aggregate, query
+from vistaflow.plans.requests import AccessRules, ViewRequests
 from vistaflow.reports.registry import (
     DOCUMENT_LABEL,
     ISO_TS_MICRO,
@@ -142,6 +143,23 @@ def coerce_events(spark, folder):
     return coerce_output(df)
 
 
+@report(
+    "request_query",
+    f"""
+    SELECT o_orderkey, {ISO_TS_MICRO.format('o_orderdate')} AS o_orderdate, c_mktsegment
+    FROM {ORDER_CUSTOMER} WHERE o_orderstatus = 'F'
+    """,
+)
+def request_query(spark, folder):
+    """A permitted request, the view's name in another case: values as a response shows them."""
+    grants = spark.createDataFrame([("v_order_customer", "ada@example.org")], "view string, email string")
+    calls = ViewRequests(catalog(spark, folder), AccessRules(grants))
+    return calls.query(
+        " Ada@Example.org", "V_ORDER_customer", filters=[Filter("o_orderstatus", "eq", "F")],
+        select="o_orderkey, o_orderdate, c_mktsegment", limit=None,
+    )
+
+
 @report(
     "query_envelope",
     f"""
