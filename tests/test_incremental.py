@@ -189,7 +189,7 @@ def test_one_failing_view_does_not_stop_the_others(spark, job):
     assert [r.documents for r in report.results] == [1, 0, 1]
     assert "cannot bind" in report.results[1].error
     assert [i for i, _ in job.found()] == ["one:1", "three:1"]
-    assert report.frame(spark).count() == 3
+    assert report.frame(spark).count() == 3 and report.ok
     (event,) = rendered(report.failures(spark, "crm", "r1", at(9))).collect()
     assert event["subject"] == "[crm] view_fetch failure"
     assert event["message"] == "View v_two failed to fetch/build: cannot bind"
@@ -223,6 +223,27 @@ def test_unsaved_run_is_invisible_and_repeated(spark, job):
     assert job.found() == [("company:1", "a"), ("company:2", "b")]
 
 
+def test_unwritten_documents_fail_the_run(spark, job, monkeypatch):
+    def full(*_):
+        raise OSError("no space")
+
+    monkeypatch.setattr(job.index, "write_batch", full)
+    report = job.run([(VIEW, frame(spark, (1, "a", at(1))))])
+    assert not report.ok and report.results[0].error_type == "document_indexing"
+    (event,) = rendered(report.failures(spark, "crm", "r1", at(9))).collect()
+    assert event["resolution"] == RESOLUTIONS["document_indexing"] and "no space" in event["message"]
+    assert job.state.load() == {}
+
+
+def test_lost_state_leaves_the_old_batches(spark, job, tmp_path):
+    job.run([(VIEW, frame(spark, (1, "a", at(1))))])
+    before = job.state.load()
+    job.state = SyncState(spark, str(tmp_path / "lost"))
+    job.run([(VIEW, frame(spark, (1, "b", at(1))))])
+    assert job.found() == [("company:1", "b")]
+    assert [r["title"] for r in job.index.documents(before).collect()] == ["a"]
+
+
 def test_user_failure_keeps_the_watermark_but_not_the_documents(spark, job):
     def fail():
         raise OSError("no rights")

@@ -20,6 +20,7 @@ from vistaflow.operators.dedupe import last_wins
 from vistaflow.operators.lookup import within_rows
 from vistaflow.operators.upsert import upsert
 from vistaflow.plans.state import ViewState
+from vistaflow.sources.files import folder_names
 
 STORED = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField("batch", T.LongType())])
 
@@ -41,6 +42,16 @@ class DocumentIndex:
         docs.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(DOCUMENT_SCHEMA).parquet(folder).count()
 
+    def new_state(self, view: str) -> ViewState:
+        """State of a view that has none saved; its first batch comes after all folders there.
+
+        If the state was lost, the batches that it named are left as they are.
+        """
+        names = folder_names(self.spark, self._view_folder(view))
+        used = [int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")]
+        first = max(used, default=-1) + 1
+        return ViewState(view, base_batch=first, last_batch=first - 1)
+
     def batches(self, view: str, first: int, last: int) -> DataFrame:
         if last < first:
             return self.spark.createDataFrame([], STORED)

@@ -34,10 +34,12 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("documents", T.LongType()),
         T.StructField("watermark", T.StringType()),
         T.StructField("error", T.StringType()),
+        T.StructField("error_type", T.StringType()),
     ]
 )
 
 
+FAILED = {"view_fetch": "failed to fetch/build", "document_indexing": "was not written"}
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField(name, T.StringType())
@@ -48,7 +50,11 @@ EVENT_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class ViewResult:
-    """Outcome of one view; ``records - documents`` is the number of dropped duplicates."""
+    """Outcome of one view; ``records - documents`` is the number of dropped duplicates.
+
+    ``error_type`` tells a view that cannot be read or shaped (view_fetch) from an index
+    that cannot be written (document_indexing).
+    """
 
     view: str
     mode: str
@@ -58,6 +64,7 @@ class ViewResult:
     documents: int = 0
     watermark: str | None = None
     error: str | None = None
+    error_type: str | None = None
 
 
 @dataclass(frozen=True)
@@ -80,14 +87,19 @@ class RunSettings:
 
 @dataclass(frozen=True)
 class RunReport:
-    """What became of every view; ``user_error`` is set if the user list was not written."""
+    """What became of every view; ``user_error`` is set if the user list was not written.
+
+    A run is ``ok`` though views could not be read, but not if users or documents could not
+    be written.
+    """
 
     results: tuple[ViewResult, ...]
     user_error: str | None = None
 
     @property
     def ok(self) -> bool:
-        return self.user_error is None
+        unwritten = any(r.error_type == "document_indexing" for r in self.results)
+        return self.user_error is None and not unwritten
 
     @property
     def failed_views(self) -> list[str]:
@@ -101,7 +113,7 @@ class RunReport:
     ) -> DataFrame:
         """Failure events of the run, ready for functions.render.rendered."""
         found = [
-            ("view_fetch", f"View {r.view} failed to fetch/build: {r.error}")
+            (r.error_type, f"View {r.view} {FAILED[r.error_type]}: {r.error}")
             for r in self.results
             if not r.ok
         ]
@@ -187,14 +199,19 @@ def run_index(
     """
     settings = _timed(settings, now())
     saved = state.load()
+    known = {
+        v.view_name: saved.get(v.view_name) or index.new_state(v.view_name)
+        for v in catalog.definitions()
+    }
     use_saved = settings.incremental and not settings.full_refresh
     user_error = _attempt(write_users)
 
     def one(view: ViewDef) -> ViewResult:
         name = view.view_name
-        old = saved.get(name, ViewState(name))
+        old = known[name]
         since = old.watermark if use_saved else None
         mode = "incremental" if since else "full"
+        docs = None
         try:
             docs, seen = view_documents(
                 catalog.frame(name), view, since, settings, positions=not use_saved
@@ -205,13 +222,14 @@ def run_index(
                 name, mode, since, True, metrics["records"], written, metrics["watermark"]
             )
         except Exception as exc:  # noqa: BLE001 - one bad view must not stop the others
-            return ViewResult(name, mode, since, False, error=str(exc).split("\n", 1)[0])
+            text = str(exc).split("\n", 1)[0]
+            return ViewResult(name, mode, since, False, error=text, error_type=_failure(docs))
 
     results = _each_view(catalog.definitions(), settings, one)
     moved = use_saved and any(r.ok and r.records and r.watermark for r in results)
     if moved or any(r.documents for r in results):
         users_ok = user_error is None
-        state.save(_next_state(saved, results, settings, now().isoformat(), users_ok))
+        state.save(_next_state(saved, known, results, settings, now().isoformat(), users_ok))
     return RunReport(results, user_error)
 
 
@@ -232,8 +250,20 @@ def _attempt(action: Callable[[], None] | None) -> str | None:
         return str(exc)
 
 
+def _failure(docs: DataFrame | None) -> str:
+    """What a view failed at: its documents, or only their writing. A pass after a failure."""
+    try:
+        if docs is None:
+            return "view_fetch"
+        docs.write.format("noop").mode("overwrite").save()
+        return "document_indexing"
+    except Exception:  # noqa: BLE001 - the first error is the one reported
+        return "view_fetch"
+
+
 def _next_state(
     saved: dict[str, ViewState],
+    known: dict[str, ViewState],
     results: tuple[ViewResult, ...],
     settings: RunSettings,
     stamp: str,
@@ -243,11 +273,11 @@ def _next_state(
     for r in results:
         if not r.ok or not (r.documents or r.records or settings.full_refresh):
             continue  # failed, or nothing new: the old entry stays
-        old = saved.get(r.view, ViewState(r.view))
-        new = old
+        old = new = known[r.view]
         if r.documents or settings.full_refresh:
             batch = old.last_batch + 1
-            base = batch if settings.full_refresh or old.last_batch < 0 else old.base_batch
+            empty = old.last_batch < old.base_batch
+            base = batch if settings.full_refresh or empty else old.base_batch
             new = replace(old, base_batch=base, last_batch=batch)
         if settings.incremental and users_ok and r.watermark is not None:
             new = replace(new, watermark=r.watermark, count=r.records, last_run=stamp)
@@ -273,6 +303,9 @@ def run_preview(
                 name, "preview", None, True, metrics["records"], written, metrics["watermark"]
             )
         except Exception as exc:  # noqa: BLE001 - one bad view must not stop the others
-            return ViewResult(name, "preview", None, False, error=str(exc).split("\n", 1)[0])
+            text = str(exc).split("\n", 1)[0]
+            return ViewResult(
+                name, "preview", None, False, error=text, error_type="view_fetch"
+            )
 
     return RunReport(_each_view(catalog.definitions(), settings, one))

@@ -115,10 +115,10 @@ def sync_state_merge(spark, folder):
     f"""
     SELECT 'v_Lineitem_Order' AS view, 'full' AS mode, true AS ok, count(*) AS records,
            count(DISTINCT (l_orderkey, l_linenumber)) AS documents,
-           CAST(max(l_shipdate) AS VARCHAR) AS watermark
+           CAST(max(l_shipdate) AS VARCHAR) AS watermark, NULL AS error_type
     FROM {LINEITEM_ORDER}
-    UNION ALL SELECT 'v_Event', 'full', false, 0, 0, NULL
-    UNION ALL SELECT 'v_Document_Label', 'full', true, count(*), count(*), NULL FROM documents
+    UNION ALL SELECT 'v_Event', 'full', false, 0, 0, NULL, 'view_fetch'
+    UNION ALL SELECT 'v_Document_Label', 'full', true, count(*), count(*), NULL, NULL FROM documents
     """,
 )
 def run_report(spark, folder):
@@ -152,7 +152,7 @@ def incremental_run(spark, folder):
     orders, labels = (job.views.frame(n) for n in ("v_Order_Customer", "v_Document_Label"))
     job.run({"v_Order_Customer": orders.where(f"o_orderdate <= '{CUT}'"), "v_Document_Label": labels})
     second = job.run({"v_Order_Customer": orders, "v_Document_Label": labels})
-    return second.frame(spark).drop("ok", "error")
+    return second.frame(spark).drop("ok", "error", "error_type")
 
 
 @report(
