@@ -38,13 +38,11 @@ def needed_columns(df: DataFrame, view: ViewDef, options: DocumentOptions) -> Da
 def last_first(df: DataFrame, view: ViewDef, columns: list[str]) -> list[Column]:
     """Sort order that puts a key's last row first: watermark, then the view's own order.
 
-    A view without order columns is ordered by content, so that a retry picks the same row.
+    Content breaks the ties that are left, so that a retry picks the same row.
     """
     named = dict.fromkeys(c for c in (view.watermark_column, *view.order_columns) if c in columns)
     order = [F.desc_nulls_last(f"`{c}`") for c in named]
-    if not view.order_columns:
-        order.append(F.xxhash64(*[F.col(f"`{c}`") for c in columns]).desc())
-    return order
+    return [*order, F.xxhash64(*[F.col(f"`{c}`") for c in columns]).desc()]
 
 
 def build_documents(
@@ -68,7 +66,7 @@ def build_documents(
         )
         if not keep_last:
             return docs
-        return pick_one(docs, ["id"], [F.xxhash64("title", "view_url", "body").desc()])
+        return pick_one(docs, ["id"], [F.xxhash64(*docs.columns).desc()])
     rows = df.drop(row_name) if row_name else df
     key = D.key_or(D.row_key(rows, view.key_columns), _fallback(rows, view, row_name))
     keyed = df.withColumn("_key", key)
