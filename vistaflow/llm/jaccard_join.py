@@ -93,11 +93,10 @@ def prune(values: np.ndarray, i: np.ndarray, j: np.ndarray, needed: list[int]) -
 
 
 class Forest:
-    """Which rows are connected, and the links that connect them: at most one less than rows."""
+    """Which rows are connected; the root of a row is the first row it is connected to."""
 
     def __init__(self, size: int):
         self.root = np.arange(size)
-        self.links: list[tuple[int, int]] = []
 
     def add(self, i: np.ndarray, j: np.ndarray):
         root = self.root
@@ -109,11 +108,15 @@ class Forest:
                 y = root[y]
             if x != y:
                 root[max(x, y)] = min(x, y)
-                self.links.append((a, b))
         while not np.array_equal(root[root], root):
             root = root[root]
         self.root = root
 
+    def links(self) -> list[tuple[int, int]]:
+        """Every row that is not a root with its root: stars, which components settle sooner than chains."""
+        rows = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return list(zip(rows.tolist(), self.root[rows].tolist()))
+
 
 def group_runs(batches, keys: list[str]):
     """Tables of whole groups from batches that are ordered by ``keys``."""
@@ -161,7 +164,7 @@ def candidate_links(values: np.ndarray, group: np.ndarray, side: np.ndarray, cro
         if open_.any():
             forest.add(*prune(values, i[open_], j[open_], needed))
         gap += 1
-    return forest.links
+    return forest.links()
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -213,7 +216,7 @@ def verified(sets: list[np.ndarray], values: np.ndarray, copies: np.ndarray, sid
             forest.add(i[first], j[first])
             left = forest.root[i] != forest.root[j]
             i, j = i[left], j[left]
-    return linked, forest.links
+    return linked, forest.links()
 
 
 def in_blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
@@ -313,7 +316,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
 
     keys = ["bucket", "low", "high"]
     candidates = (
-        members.repartition(*keys).sortWithinPartitions(*keys)
+        members.repartition(*keys).sortWithinPartitions(*keys, "node")
         .select(*keys, "side", "node", "signature").mapInArrow(compare, LINK)
     )
     clusters = staged(components(candidates), "clusters")
@@ -359,7 +362,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
 
     keys = ["root", "low", "high"]
     checked = staged(
-        dealt.repartition(*keys).sortWithinPartitions(*keys)
+        dealt.repartition(*keys).sortWithinPartitions(*keys, "node")
         .select(*keys, "side", "node", "copies", "signature", "shingles").mapInArrow(check, CHECKED),
         "checked")
     links = checked.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
