@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vistaflow.functions.identity import display_name, normalized, user_id
 from vistaflow.functions.values import strip
 from vistaflow.operators.dedupe import first_wins
-from vistaflow.operators.lookup import lookup, within_rows
+from vistaflow.operators.lookup import lookup
 from vistaflow.session import staged
 
 
@@ -53,7 +53,7 @@ def with_superusers(users: DataFrame, superusers: DataFrame) -> DataFrame:
     # by id and by email in one join.
     wanted = extra.select("user_id", F.explode(_user_keys()).alias("_key"))
     known = users.select(F.explode(_user_keys()).alias("_key"))
-    met = lookup(known, wanted, ["_key"], "inner", small=within_rows(wanted))
+    met = lookup(known, wanted, ["_key"], "inner")
     missing = extra.join(met.select("user_id").distinct(), "user_id", "left_anti")
     name, active = F.col("email").alias("name"), F.lit(True).alias("is_active")
     return users.unionByName(missing.select("user_id", "email", name, active))
@@ -102,9 +102,9 @@ def grants_by_view(grants: DataFrame) -> DataFrame:
 
 def granted_requests(requests: DataFrame, grants: DataFrame) -> DataFrame:
     """Requests whose (view, email) pair is granted; both are compared normalized."""
-    pairs = _pairs(grants)
+    pairs = staged(_pairs(grants), "grants")
     keyed = _normalized_requests(requests)
-    kept = lookup(keyed, pairs, ["_view", "_email"], "left_semi", small=within_rows(pairs))
+    kept = lookup(keyed, pairs, ["_view", "_email"], "left_semi")
     return kept.select(*requests.columns)
 
 
@@ -124,17 +124,21 @@ def audit(
 ) -> DataFrame:
     """Each request with the decision and its reason.
 
-    All-access beats superuser beats grant; a view without any grant denies everyone.
+    All-access beats superuser beats grant; a view without any grant denies everyone. Grants
+    and superusers are folded once and stored; by the size of the files Spark decides whether
+    to broadcast them, in which case requests are not shuffled.
     """
     if all_access:
         return requests.withColumns({"allowed": F.lit(True), "reason": F.lit("all_access")})
-    pairs = _pairs(grants)
-    views = grants.select(F.col("view").alias("_view")).distinct()
-    supers = superusers.select(normalized(F.col("email")).alias("_email")).distinct()
+    pairs = staged(_pairs(grants), "grants")
+    views = pairs.select("_view").distinct()
+    supers = staged(
+        superusers.select(normalized(F.col("email")).alias("_email")).distinct(), "superusers"
+    )
     out = _normalized_requests(requests)
     for dim, flag in ((supers, "_super"), (pairs, "_granted"), (views, "_listed")):
         keys = dim.columns
-        out = lookup(out, dim.withColumn(flag, F.lit(True)), keys, small=within_rows(dim))
+        out = lookup(out, dim.withColumn(flag, F.lit(True)), keys)
     reason = (
         F.when(F.col("_super"), "superuser")
         .when(F.col("_granted"), "granted")
@@ -184,8 +188,12 @@ def kinds_by_user(users: DataFrame, allowed: Mapping[str, Iterable[str]]) -> Dat
 def documents_for_user(
     docs: DataFrame, users: DataFrame, email: str, allowed: Mapping[str, Iterable[str]]
 ) -> DataFrame:
-    """Documents one user may read by group policy; unknown users and types are denied."""
+    """Documents one user may read by group policy; unknown users and types are denied.
+
+    The types are fetched first, so the scans of views the user may not read are left out
+    of the plan.
+    """
     user = users.where(F.col("email") == email.strip().lower())
-    # At most one entry per configured object type, computed once and sent to every task.
-    kinds = kinds_by_user(user, allowed).where("allowed").agg(F.collect_set("object_type"))
-    return docs.where(F.array_contains(kinds.scalar(), F.col("object_type")))
+    # At most one row per configured object type.
+    kinds = kinds_by_user(user, allowed).where("allowed").select("object_type").distinct()
+    return docs.where(F.col("object_type").isin([r["object_type"] for r in kinds.collect()]))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from vistaflow.functions.identity import normalized, user_id
 from vistaflow.operators import access as A
-from vistaflow.operators.lookup import lookup, within_rows
+from vistaflow.operators.lookup import lookup
 from vistaflow.reports.documents import all_documents
 from vistaflow.reports.people import (
     GRANTS_SQL,
@@ -210,4 +210,4 @@ def scope_current(spark, folder):
         F.col("n_nationkey").alias("c_nationkey")
     )
     facts = order_customer(spark, folder).select("o_orderkey", "o_custkey", "c_nationkey")
-    return lookup(facts, current, ["c_nationkey"], "left_semi", small=within_rows(current))
+    return lookup(facts, current, ["c_nationkey"], "left_semi")

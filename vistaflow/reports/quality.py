@@ -18,7 +18,7 @@ from vistaflow.reports.registry import (
     ORDER_CUSTOMER,
     report,
 )
-from vistaflow.sources.sample import VIEWS, catalog, document_label, error_rows, table
+from vistaflow.sources.sample import VIEWS, catalog, document_label, error_message, error_rows, table
 
 # Kinds of failure by event type; the last one is not a known kind.
 KINDS = {"error": "view_fetch", "view": "api_request", "click": "db_connection", "signup": "other"}
@@ -151,7 +151,7 @@ def missing_databases(spark, folder):
 
 # --- failure events -----------------------------------------------------------------------
 
-_KIND_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in KINDS.items()) + " END"
+_KIND_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in KINDS.items()) + " ELSE event_type END"
 _RESOLUTION_SQL = (
     "CASE " + _KIND_SQL + " "
     + " ".join(f"WHEN '{k}' THEN '{v.replace(chr(39), chr(39) * 2)}'" for k, v in RESOLUTIONS.items())
@@ -161,17 +161,15 @@ _RESOLUTION_SQL = (
 
 def failures(spark, folder) -> DataFrame:
     """One failure event per sample event, with a message, a run id and at times a detail."""
-    kind = F.lit(None).cast("string")
+    kind = F.col("event_type")
     for event_type, name in KINDS.items():
         kind = F.when(F.col("event_type") == event_type, name).otherwise(kind)
     events = table(spark, folder, "events")
-    messages = error_rows(spark, folder).select("event_id", "message")
-    joined = events.join(messages, "event_id")
-    return joined.select(
+    return events.select(
         "event_id",
         F.lit("sample <a&b>").alias("connector"),
         kind.alias("error_type"),
-        "message",
+        error_message().alias("message"),
         iso_text(F.col("ts"), events.schema["ts"].dataType).alias("timestamp"),
         F.when(F.col("value") > 10, F.concat(F.lit("run-"), F.col("user_id"))).alias("run_id"),
         F.when(F.col("value") > 20, F.col("props")).alias("detail"),
@@ -197,8 +195,7 @@ _FAILURE_SQL = f"""
             CASE WHEN value > 10 THEN 'run-' || user_id END AS run_id,
             CASE WHEN value > 20 THEN props END AS detail
      FROM (SELECT *, 'invalid object name ''[Store' || json_extract_string(props, '$.k')
-                  || '].dbo.T' || user_id || '''' AS long_name FROM events)
-     WHERE event_type <> 'purchase')
+                  || '].dbo.T' || user_id || '''' AS long_name FROM events))
 """
 _ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
@@ -228,5 +225,5 @@ _ESC = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
     """,
 )
 def event_render(spark, folder):
-    known = failures(spark, folder).where("error_type IS NOT NULL")
-    return rendered(known).select("event_id", "subject", "text", "html", "chat")
+    """All events; a kind without a resolution of its own gets the fallback."""
+    return rendered(failures(spark, folder)).select("event_id", "subject", "text", "html", "chat")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaflow.model import ViewDef
@@ -156,18 +156,20 @@ def superuser_rows(spark: SparkSession, folder: str) -> DataFrame:
     return errors.select(F.when(F.col("value") < 20, good).otherwise(broken).alias("raw"))
 
 
-def error_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Failure messages that name missing objects, one per event."""
-    events = table(spark, folder, "events")
+def error_message() -> Column:
+    """Failure message of an event; errors and views name missing objects."""
     number = F.get_json_object("props", "$.k")
     user = F.col("user_id").cast("string")
     long_name = F.concat(F.lit("invalid object name '[Store"), number, F.lit("].dbo.T"), user, F.lit("'"))
     short_name = F.concat(F.lit("Invalid object name 'dbo.T"), user, F.lit("'."))
-    return events.select(
-        "event_id",
-        "event_type",
+    return (
         F.when(F.col("event_type") == "error", F.concat(F.lit("4413: "), long_name))
         .when(F.col("event_type") == "view", F.concat(short_name, F.lit(" "), long_name))
         .otherwise(F.concat(F.lit("done <"), F.col("event_type"), F.lit("> & ok")))
-        .alias("message"),
     )
+
+
+def error_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Failure messages that name missing objects, one per event."""
+    events = table(spark, folder, "events")
+    return events.select("event_id", "event_type", error_message().alias("message"))
