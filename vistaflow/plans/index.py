@@ -18,11 +18,17 @@ from pyspark.sql import types as T
 from vistaflow.model import DOCUMENT_SCHEMA, ViewDef, require_identifier
 from vistaflow.operators.dedupe import last_wins
 from vistaflow.operators.lookup import within_rows
-from vistaflow.operators.upsert import upsert
+from vistaflow.operators.upsert import content_digest, upsert
 from vistaflow.plans.state import ViewState
-from vistaflow.sources.files import folder_names
+from vistaflow.sources.files import folder_names, remove
 
-STORED = T.StructType([*DOCUMENT_SCHEMA.fields, T.StructField("batch", T.LongType())])
+STORED = T.StructType(
+    [
+        *DOCUMENT_SCHEMA.fields,
+        T.StructField("digest", T.StringType()),
+        T.StructField("batch", T.LongType()),
+    ]
+)
 
 
 class DocumentIndex:
@@ -36,10 +42,13 @@ class DocumentIndex:
     def write_batch(self, view: str, batch: int, docs: DataFrame) -> int:
         """Write one batch of documents with unique ids; returns their number.
 
-        Writing the same batch again replaces it, so a retried run changes nothing.
+        Writing the same batch again replaces it, so a retried run changes nothing. A digest
+        of each document is stored beside it, so that later runs need not read its body to
+        see whether it has changed.
         """
         folder = f"{self._view_folder(view)}/batch={batch}"
-        docs.write.mode("overwrite").parquet(folder)
+        stored = docs.withColumn("digest", content_digest(docs))
+        stored.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(DOCUMENT_SCHEMA).parquet(folder).count()
 
     def new_state(self, view: str) -> ViewState:
@@ -61,6 +70,9 @@ class DocumentIndex:
 
     def view_documents(self, state: ViewState) -> DataFrame:
         """Newest version of each document of one view."""
+        return self._newest(state).drop("digest")
+
+    def _newest(self, state: ViewState) -> DataFrame:
         base = self.batches(state.view, state.base_batch, min(state.base_batch, state.last_batch))
         if state.last_batch <= state.base_batch:
             return base.drop("batch")
@@ -69,6 +81,23 @@ class DocumentIndex:
         newest = last_wins(changed, "id", ["batch"])
         return upsert(base.drop("batch"), newest.drop("batch"), small=small)
 
+    def changed_documents(self, state: ViewState, docs: DataFrame) -> DataFrame:
+        """The documents that are new or differ from what the index holds of one view.
+
+        Only ids and stored digests of the index are read and shuffled.
+        """
+        current = self._newest(state).select("id", F.col("digest").alias("_old"))
+        marked = docs.withColumn("_new", content_digest(docs)).join(current, "id", "left")
+        return marked.where(~F.col("_old").eqNullSafe(F.col("_new"))).select(*docs.columns)
+
+    def remove_before(self, view: str, batch: int) -> None:
+        """Delete the batches of a view before this one, which no state may name any more."""
+        folder = self._view_folder(view)
+        for name in folder_names(self.spark, folder):
+            number = name.removeprefix("batch=")
+            if number.isdigit() and int(number) < batch:
+                remove(self.spark, f"{folder}/{name}")
+
     def documents(
         self, states: dict[str, ViewState], views: Sequence[ViewDef] = ()
     ) -> DataFrame:

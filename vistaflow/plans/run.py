@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass, field, replace
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ from vistaflow.plans.documents import (
 )
 from vistaflow.plans.index import DocumentIndex
 from vistaflow.plans.state import SyncState, ViewState
+from vistaflow.plans.users import Directory
+from vistaflow.session import staging
 from vistaflow.sources.catalog import ViewCatalog
 from vistaflow.sources.scan import scan, watermark_text
 
@@ -32,6 +34,7 @@ REPORT_SCHEMA = T.StructType(
         T.StructField("ok", T.BooleanType()),
         T.StructField("records", T.LongType()),
         T.StructField("documents", T.LongType()),
+        T.StructField("written", T.LongType()),
         T.StructField("watermark", T.StringType()),
         T.StructField("error", T.StringType()),
         T.StructField("error_type", T.StringType()),
@@ -39,6 +42,7 @@ REPORT_SCHEMA = T.StructType(
 )
 
 
+ALL_READERS = "all"
 FAILED = {"view_fetch": "failed to fetch/build", "document_indexing": "was not written"}
 EVENT_SCHEMA = T.StructType(
     [
@@ -52,6 +56,7 @@ EVENT_SCHEMA = T.StructType(
 class ViewResult:
     """Outcome of one view; ``records - documents`` is the number of dropped duplicates.
 
+    ``written`` counts the documents that were new or changed and so went to the index.
     ``error_type`` tells a view that cannot be read or shaped (view_fetch) from an index
     that cannot be written (document_indexing).
     """
@@ -62,6 +67,7 @@ class ViewResult:
     ok: bool
     records: int = 0
     documents: int = 0
+    written: int = 0
     watermark: str | None = None
     error: str | None = None
     error_type: str | None = None
@@ -73,7 +79,8 @@ class RunSettings:
 
     ``incremental=False`` ignores saved watermarks and saves none. ``full_refresh`` reads
     everything and replaces each view's documents. ``acl_id`` names the reader list put on
-    documents; without one ``allow_anonymous`` opens them to everyone.
+    documents; without one ``allow_anonymous`` opens them to everyone. A view with more than
+    ``compact_after`` batches on top of its base is folded into one.
     """
 
     incremental: bool = True
@@ -82,6 +89,7 @@ class RunSettings:
     acl_id: str | None = None
     allow_anonymous: bool = False
     parallel_views: int = 1
+    compact_after: int = 20
     options: DocumentOptions = field(default_factory=DocumentOptions)
 
 
@@ -125,11 +133,14 @@ class RunReport:
 
 def observed_rows(df: DataFrame, view: ViewDef) -> tuple[DataFrame, Observation]:
     """The rows with their count and newest watermark taken in the pass that writes them."""
+    observation = Observation()
+    return df.observe(observation, *_metrics(df, view)), observation
+
+
+def _metrics(df: DataFrame, view: ViewDef) -> list[Column]:
     wm = view.watermark_column
     newest = watermark_text(wm) if wm and wm in df.columns else F.max(F.lit(None).cast("string"))
-    observation = Observation()
-    metrics = [F.count("*").alias("records"), newest.alias("watermark")]
-    return df.observe(observation, *metrics), observation
+    return [F.count("*").alias("records"), newest.alias("watermark")]
 
 
 def read_metrics(view: ViewDef, seen: Observation, written: int) -> dict:
@@ -174,6 +185,11 @@ def view_documents(
     return docs, observation
 
 
+def _counts(rows: DataFrame, view: ViewDef) -> dict:
+    """Row count and newest watermark in a pass of their own, over the watermark only."""
+    return rows.agg(*_metrics(rows, view)).first().asDict()
+
+
 def _each_view(
     views: list[ViewDef], settings: RunSettings, one: Callable[[ViewDef], ViewResult]
 ) -> tuple[ViewResult, ...]:
@@ -188,6 +204,7 @@ def run_index(
     settings: RunSettings = RunSettings(),
     *,
     write_users: Callable[[], None] | None = None,
+    directory: Directory | None = None,
     now: Callable[[], datetime] = lambda: datetime.now(tz=UTC),
 ) -> RunReport:
     """Read, shape and write every enabled view, then save the state.
@@ -196,6 +213,13 @@ def run_index(
     full refresh replaces the documents of the views it read, unless no view gave any. The
     state is saved last, so a run that dies before that is simply done again. If the user
     list cannot be written, documents go out but no watermark moves.
+
+    ``directory`` gives users and superusers: the reader list ``settings.acl_id`` and the user
+    list are written before documents, which name the list unless it is empty.
+
+    A view that is read as a whole though it has documents already (it has no watermark)
+    writes only those that are new or have changed. Batches that neither the state nor
+    the one before names are removed, so a reader of the previous state can still finish.
     """
     settings = _timed(settings, now())
     saved = state.load()
@@ -205,34 +229,76 @@ def run_index(
     }
     use_saved = settings.incremental and not settings.full_refresh
     user_error = _attempt(write_users)
+    if directory is not None:
+        acl_id = settings.acl_id or ALL_READERS
+        with staging(index.spark):
+            user_error = user_error or _attempt(lambda: directory.write(acl_id))
+        known_list = acl_id if directory.has_readers(acl_id) else None
+        # A list that could not be written must not open documents to everyone.
+        anonymous = settings.allow_anonymous and user_error is None
+        settings = replace(settings, acl_id=known_list, allow_anonymous=anonymous)
 
     def one(view: ViewDef) -> ViewResult:
         name = view.view_name
         old = known[name]
         since = old.watermark if use_saved else None
         mode = "incremental" if since else "full"
+        diffs = use_saved and since is None and old.last_batch >= old.base_batch
         docs = None
-        try:
-            docs, seen = view_documents(
-                catalog.frame(name), view, since, settings, positions=not use_saved
-            )
-            written = index.write_batch(name, old.last_batch + 1, docs)
-            metrics = read_metrics(view, seen, written)
-            return ViewResult(
-                name, mode, since, True, metrics["records"], written, metrics["watermark"]
-            )
-        except Exception as exc:  # noqa: BLE001 - one bad view must not stop the others
-            text = str(exc).split("\n", 1)[0]
-            return ViewResult(name, mode, since, False, error=text, error_type=_failure(docs))
+        with staging(index.spark):
+            try:
+                docs, seen = view_documents(
+                    catalog.frame(name), view, since, settings, positions=not use_saved
+                )
+                if diffs:
+                    return _write_changes(catalog, index, view, old, settings, docs, seen)
+                written = index.write_batch(name, old.last_batch + 1, docs)
+                metrics = read_metrics(view, seen, written)
+                found, newest = metrics["records"], metrics["watermark"]
+                return ViewResult(name, mode, since, True, found, written, written, newest)
+            except Exception as exc:  # noqa: BLE001 - one bad view must not stop the others
+                text = str(exc).split("\n", 1)[0]
+                kind = _failure(docs)
+                return ViewResult(name, mode, since, False, error=text, error_type=kind)
 
     results = _each_view(catalog.definitions(), settings, one)
     moved = use_saved and any(r.ok and r.records and r.watermark for r in results)
     if moved or any(r.documents for r in results):
         users_ok = user_error is None
-        state.save(_next_state(saved, known, results, settings, now().isoformat(), users_ok))
+        views = _next_state(saved, known, results, settings, now().isoformat(), users_ok)
+        for name, new in views.items():
+            if new.last_batch - new.base_batch > settings.compact_after:
+                views[name] = index.compact(new)
+        state.save(views)
+    for name, before in saved.items():
+        index.remove_before(name, before.base_batch)
     return RunReport(results, user_error)
 
 
+def _write_changes(
+    catalog: ViewCatalog,
+    index: DocumentIndex,
+    view: ViewDef,
+    old: ViewState,
+    settings: RunSettings,
+    docs: DataFrame,
+    seen: Observation,
+) -> ViewResult:
+    """Write what differs from the index; the rest of a view that was read as a whole stays."""
+    name = view.view_name
+    counted = Observation()
+    docs = docs.observe(counted, F.count("*").alias("documents"))
+    written = index.write_batch(name, old.last_batch + 1, index.changed_documents(old, docs))
+    rows = scan(catalog.frame(name), view, row_limit=settings.row_limit)
+    if written == 0 and (view.build is not None or rows.isEmpty()):
+        # Spark may have folded documents that are none to nothing and observed nothing.
+        metrics, documents = _counts(rows, view), docs.count()
+    else:
+        metrics, documents = seen.get, counted.get["documents"]
+    found, newest = metrics["records"], metrics["watermark"]
+    return ViewResult(name, "full", None, True, found, documents, written, newest)
+
+
 def _timed(settings: RunSettings, start: datetime) -> RunSettings:
     """The settings with one document time for the whole run."""
     if settings.options.run_epoch is not None:
@@ -274,7 +340,7 @@ def _next_state(
         if not r.ok or not (r.documents or r.records or settings.full_refresh):
             continue  # failed, or nothing new: the old entry stays
         old = new = known[r.view]
-        if r.documents or settings.full_refresh:
+        if r.written or settings.full_refresh:
             batch = old.last_batch + 1
             empty = old.last_batch < old.base_batch
             base = batch if settings.full_refresh or empty else old.base_batch
@@ -299,9 +365,8 @@ def run_preview(
             text.write.mode("overwrite").text(folder)
             written = catalog.spark.read.text(folder).count()
             metrics = read_metrics(view, seen, written)
-            return ViewResult(
-                name, "preview", None, True, metrics["records"], written, metrics["watermark"]
-            )
+            found, newest = metrics["records"], metrics["watermark"]
+            return ViewResult(name, "preview", None, True, found, written, written, newest)
         except Exception as exc:  # noqa: BLE001 - one bad view must not stop the others
             text = str(exc).split("\n", 1)[0]
             return ViewResult(

@@ -9,13 +9,16 @@ from vistaflow.model import DocumentOptions, ViewDef
 from vistaflow.plans.index import DocumentIndex
 from vistaflow.plans.run import RunSettings, run_index
 from vistaflow.plans.state import SyncState, merge_state, state_frame
+from vistaflow.plans.users import Directory, reader_table, user_table
+from vistaflow.reports.people import SUPERUSERS_SQL, USERS_SQL, superusers, users
 from vistaflow.reports.registry import (
+    DOCUMENT_LABEL,
     LAST_LINEITEM,
     LINEITEM_ORDER,
     ORDER_CUSTOMER,
     report,
 )
-from vistaflow.session import new_folder
+from vistaflow.session import new_folder, staged
 from vistaflow.sources.catalog import ViewCatalog
 from vistaflow.sources.sample import VIEW, catalog, table
 from vistaflow.sources.scan import newest_watermark
@@ -35,13 +38,21 @@ class Job:
         self.views = catalog(spark, folder)
         self.index = DocumentIndex(spark, f"{root}/documents")
         self.state = SyncState(spark, f"{root}/state")
+        self.users = user_table(spark, f"{root}/users")
+        self.readers = reader_table(spark, f"{root}/readers")
 
-    def run(self, sources: dict[str, DataFrame], settings: RunSettings = SETTINGS):
-        """One run over the named views with the rows given for each."""
+    def run(
+        self,
+        sources: dict[str | ViewDef, DataFrame],
+        settings: RunSettings = SETTINGS,
+        directory: Directory | None = None,
+    ):
+        """One run over the views, named or defined, with the rows given for each."""
         chosen = ViewCatalog(self.spark)
-        for name, df in sources.items():
-            chosen.register(self.views.definition(name), lambda df=df: df)
-        return run_index(chosen, self.state, self.index, settings)
+        for view, df in sources.items():
+            known = self.views.definition(view) if isinstance(view, str) else view
+            chosen.register(known, lambda df=df: df)
+        return run_index(chosen, self.state, self.index, settings, directory=directory)
 
     def documents(self) -> DataFrame:
         return self.index.documents(self.state.load())
@@ -130,7 +141,7 @@ def run_report(spark, folder):
         "v_Event": broken.withColumn("ts", F.col("ts").cast("timestamp_ntz")),
         "v_Document_Label": job.views.frame("v_Document_Label"),
     }
-    return job.run(sources).frame(spark).drop("since", "error")
+    return job.run(sources).frame(spark).drop("since", "error", "written")
 
 
 @report(
@@ -152,7 +163,7 @@ def incremental_run(spark, folder):
     orders, labels = (job.views.frame(n) for n in ("v_Order_Customer", "v_Document_Label"))
     job.run({"v_Order_Customer": orders.where(f"o_orderdate <= '{CUT}'"), "v_Document_Label": labels})
     second = job.run({"v_Order_Customer": orders, "v_Document_Label": labels})
-    return second.frame(spark).drop("ok", "error", "error_type")
+    return second.frame(spark).drop("ok", "error", "error_type", "written")
 
 
 @report(
@@ -215,23 +226,158 @@ def index_replace(spark, folder):
 @report(
     "stream_upsert",
     """
-    SELECT 'user:' || user_id AS id, arg_max(event_type, ts) AS title
-    FROM events GROUP BY user_id
+    SELECT 'user:' || user_id AS name, arg_max(event_type, ts) AS title, 'all' AS acl_id
+    FROM events WHERE event_type <> 'error' GROUP BY user_id
+    UNION ALL SELECT 'nobody', event_type, 'all' FROM events WHERE event_type = 'error'
     """,
 )
 def stream_upsert(spark, folder):
-    """Newest event of each user, fed from the events files as a stream."""
+    """Newest event of each user, in three micro-batches; errors are rows without a key."""
     view = ViewDef(
         "v_User_Now", "user", "user_id", (), ("event_type",), (), "ts", ("event_id",)
     )
-    schema = table(spark, folder, "events").schema
-    rows = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(folder)
-    )
     root = new_folder(spark, "stream")
     index = DocumentIndex(spark, f"{root}/documents")
-    stream_documents(rows, view, index, f"{root}/checkpoint", OPTIONS).awaitTermination()
-    state = stream_state(index, view, f"{root}/checkpoint")
-    return index.view_documents(state).select("id", "title")
+    user = F.when(F.col("event_type") != "error", F.col("user_id"))
+    events = table(spark, folder, "events").withColumn("user_id", user)
+    parts = ["ts < '2024-01-11'", "ts >= '2024-01-11' AND ts < '2024-01-21'", "ts >= '2024-01-21'"]
+    rows = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 10_000)
+    for part in parts:
+        events.where(part).write.mode("append").parquet(f"{root}/feed")
+        job = stream_documents(
+            rows.parquet(f"{root}/feed"), view, index, f"{root}/checkpoint", OPTIONS, acl_id="all"
+        )
+        job.awaitTermination()
+    docs = index.view_documents(stream_state(index, view, f"{root}/checkpoint"))
+    named = F.when(F.col("id").rlike("^user:[0-9]{1,18}$"), F.col("id")).otherwise("nobody")
+    return docs.select(named.alias("name"), "title", "permissions.acl_id")
+
+
+@report(
+    "incremental_unchanged_view",
+    f"""
+    SELECT 1 AS run, count(*) AS records, count(*) AS documents, count(*) AS written
+    FROM {DOCUMENT_LABEL}
+    UNION ALL SELECT 2, count(*), count(*), 0 FROM {DOCUMENT_LABEL}
+    UNION ALL SELECT 3, count(*), count(*), count(*) FILTER (WHERE quality < 0.5)
+    FROM {DOCUMENT_LABEL}
+    """,
+)
+def incremental_unchanged_view(spark, folder):
+    """A view without a watermark: the same rows again write nothing, changed rows only themselves."""
+    job = Job(spark, folder)
+    rows = job.views.frame("v_Document_Label")
+    low = F.col("quality") < 0.5
+    changed = rows.withColumn("source", F.when(low, F.lit("changed")).otherwise(F.col("source")))
+    out = None
+    for number, df in enumerate((rows, rows, changed), start=1):
+        seen = job.run({"v_Document_Label": df}).frame(spark)
+        seen = seen.select(F.lit(number).alias("run"), "records", "documents", "written")
+        out = seen if out is None else out.unionByName(seen)
+    return out
+
+
+@report(
+    "index_compacted",
+    f"""
+    SELECT count(DISTINCT (l_orderkey, l_linenumber)) AS documents,
+           count(DISTINCT (l_orderkey, l_linenumber)) AS stored FROM {LINEITEM_ORDER}
+    """,
+)
+def index_compacted(spark, folder):
+    """Runs that fold batches at once, and a last one that removes those no state names."""
+    job = Job(spark, folder)
+    lines = job.views.frame("v_Lineitem_Order")
+    settings = RunSettings(acl_id="all", options=OPTIONS, compact_after=0)
+    for rows in (lines.where("l_shipdate <= '1998-12-01'"), lines, lines):
+        job.run({"v_Lineitem_Order": rows}, settings)
+    stored = spark.read.parquet(f"{job.index.root}/view=v_Lineitem_Order")
+    stored = stored.agg(F.count("*").alias("stored"))
+    counted = job.documents().agg(F.count("*").alias("documents"))
+    return counted.select("documents", stored.scalar().alias("stored"))
+
+
+@report(
+    "scan_capped_drained",
+    f"""
+    SELECT 'capped:' || doc_id AS id FROM {DOCUMENT_LABEL}
+    """,
+)
+def scan_capped_drained(spark, folder):
+    """Capped runs until nothing is left give all rows, with more null watermarks than the cap."""
+    view = ViewDef(
+        "v_Capped", "capped", "doc_id", watermark_column="mark", order_columns=("doc_id",)
+    )
+    job = Job(spark, folder)
+    rows = job.views.frame("v_Document_Label")
+    rows = rows.withColumn("mark", F.when(F.col("quality") >= 0.5, F.col("doc_id")))
+    rows = staged(rows.select("doc_id", "quality", "mark"), "capped")  # read by every run
+    cap = max(1, rows.where("mark IS NOT NULL").count() // 4)
+    settings = RunSettings(acl_id="all", options=OPTIONS, row_limit=cap)
+    while any(r.written for r in job.run({view: rows}, settings).results):
+        pass
+    return job.documents().select("id")
+
+
+@report(
+    "incremental_keyless_rows",
+    f"""
+    SELECT doc_id, quality IS NULL AS keyless FROM {DOCUMENT_LABEL}
+    WHERE quality IS NULL
+    UNION ALL
+    SELECT arg_max(doc_id, doc_id), false FROM {DOCUMENT_LABEL}
+    WHERE quality IS NOT NULL GROUP BY quality
+    """,
+)
+def incremental_keyless_rows(spark, folder):
+    """Two runs over rows keyed by a column that is often null; every row without a key stays."""
+    view = ViewDef(
+        "v_Keyless", "keyless", "quality", watermark_column="doc_id", order_columns=("doc_id",)
+    )
+    job = Job(spark, folder)
+    rows = job.views.frame("v_Document_Label")
+    half = rows.agg((F.max("doc_id") / 2).cast("long")).scalar()
+    job.run({view: rows.where(F.col("doc_id") <= half)})
+    job.run({view: rows})
+    found = F.get_json_object("body", "$.doc_id").cast("long").alias("doc_id")
+    return job.documents().select(found, F.get_json_object("body", "$.quality").isNull().alias("keyless"))
+
+
+def _directory(job: Job, folder: str) -> Directory:
+    named = users(job.spark, folder).where("name IS NOT NULL")
+    return Directory(named, superusers(job.spark, folder), job.users, job.readers)
+
+
+@report(
+    "run_users",
+    f"""
+    WITH u AS (SELECT * FROM {USERS_SQL} WHERE name IS NOT NULL)
+    SELECT sha256(email) AS user_id, email, name, true AS is_active FROM u
+    UNION ALL SELECT sha256(email), email, email, true FROM {SUPERUSERS_SQL}
+    WHERE email NOT IN (SELECT email FROM u)
+    """,
+)
+def run_users(spark, folder):
+    """The user list a run has written, superusers included, read back."""
+    job = Job(spark, folder)
+    job.run({"v_Event": job.views.frame("v_Event")}, directory=_directory(job, folder))
+    return job.users.read()
+
+
+@report(
+    "run_readers",
+    f"""
+    WITH u AS (SELECT email FROM {USERS_SQL} WHERE name IS NOT NULL),
+         r AS (SELECT email FROM u UNION ALL
+               SELECT email FROM {SUPERUSERS_SQL} WHERE email NOT IN (SELECT email FROM u))
+    SELECT 'all' AS acl_id, sha256(email) AS datasource_user_id, email,
+           (SELECT count(*) FROM {ORDER_CUSTOMER}) AS documents
+    FROM r
+    """,
+)
+def run_readers(spark, folder):
+    """The reader list a run has written, and how many documents name it."""
+    job = Job(spark, folder)
+    job.run({"v_Order_Customer": job.views.frame("v_Order_Customer")}, directory=_directory(job, folder))
+    named = job.documents().groupBy("permissions.acl_id").agg(F.count("*").alias("documents"))
+    return job.readers.read().join(named, "acl_id")

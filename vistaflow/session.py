@@ -5,9 +5,16 @@ from __future__ import annotations
 import tempfile
 import uuid
 import warnings
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vistaflow.sources.files import remove
+
+_made: ContextVar[list[str] | None] = ContextVar("staged tables of this scope", default=None)
+
 # Spark decides partition counts and splits hot join partitions at run time.
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
@@ -80,5 +87,21 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables staged inside at its end: what reads them must be written by then."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            remove(spark, path)

@@ -24,6 +24,12 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this library wrote; nothing happens if it is not there."""
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 class VersionedTable:
     """A table replaced as a whole: each save is a new folder, the newest complete one counts.
 
