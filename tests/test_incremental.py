@@ -14,8 +14,9 @@ from vistaflow.plans.documents import build_documents
 from vistaflow.plans.index import DocumentIndex
 from vistaflow.plans.run import RunSettings, run_index, run_preview
 from vistaflow.plans.state import SyncState, ViewState
+from vistaflow.plans.users import Directory, expand_readers, reader_table, user_table
 from vistaflow.sources.catalog import ViewCatalog
-from vistaflow.sources.files import VersionedTable
+from vistaflow.sources.files import VersionedTable, folder_names
 from vistaflow.sources.scan import newest_watermark, scan
 
 VIEW = ViewDef(
@@ -348,3 +349,96 @@ def test_catalog(spark, company):
     ]
     with pytest.raises(LookupError):
         catalog.list_columns("v_None")
+
+
+def run_plain(spark, tmp_path, rows, settings=RunSettings(acl_id="all"), directory=None, view=None):
+    """One run over a view without a watermark; returns the result and the job's parts."""
+    view = view or ViewDef("v_Plain", "plain", "CompanyID", title_columns=("Name",))
+    catalog = ViewCatalog(spark)
+    catalog.register(view, lambda: spark.createDataFrame(rows, "CompanyID int, Name string"))
+    state = SyncState(spark, f"{tmp_path}/state")
+    index = DocumentIndex(spark, f"{tmp_path}/documents")
+    report = run_index(catalog, state, index, settings, directory=directory)
+    return report, state, index
+
+
+def test_a_view_without_watermark_writes_only_changes(spark, tmp_path):
+    rows = [(1, "a"), (2, "b"), (3, None)]
+    first, state, _ = run_plain(spark, tmp_path, rows)
+    assert (first.results[0].documents, first.results[0].written) == (3, 3)
+    again, state, _ = run_plain(spark, tmp_path, rows)
+    assert (again.results[0].records, again.results[0].documents, again.results[0].written) == (3, 3, 0)
+    assert state.load()["v_Plain"].last_batch == 0
+    more, state, index = run_plain(spark, tmp_path, [(1, "x"), (2, "b"), (4, "d")])
+    assert more.results[0].written == 2
+    docs = index.documents(state.load())
+    assert sorted((r["id"], r["title"]) for r in docs.select("id", "title").collect()) == [
+        ("plain:1", "x"), ("plain:2", "b"), ("plain:3", "plain:3"), ("plain:4", "d"),
+    ]
+    empty, state, index = run_plain(spark, tmp_path, [])
+    assert empty.ok and (empty.results[0].records, empty.results[0].documents) == (0, 0)
+    assert index.documents(state.load()).count() == 4
+
+
+def test_copies_of_keyless_rows_are_not_written_twice(spark, tmp_path):
+    rows = [(None, "a"), (None, "a"), (None, "b"), (7, "c")]
+    run_plain(spark, tmp_path, rows)
+    again, state, index = run_plain(spark, tmp_path, rows)
+    assert again.results[0].written == 0
+    assert index.documents(state.load()).count() == 4
+
+
+def test_folding_leaves_one_batch_and_no_staged_table(spark, tmp_path):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(folder_names(spark, shared))
+    settings = RunSettings(acl_id="all", compact_after=1)
+    for n in range(4):
+        rows = [(None, "k"), (None, "k"), *[(i, f"name {n}") for i in range(3)]]
+        _, state, index = run_plain(spark, tmp_path, rows, settings)
+    saved = state.load()["v_Plain"]
+    assert saved.last_batch - saved.base_batch <= 1
+    run_plain(spark, tmp_path, rows, settings)
+    left = folder_names(spark, f"{tmp_path}/documents/view=v_Plain")
+    assert min(int(n.removeprefix("batch=")) for n in left) == saved.base_batch
+    titles = index.documents(state.load()).select("title").collect()
+    assert sorted(r["title"] for r in titles if r["title"].startswith("name")) == ["name 3"] * 3
+    assert set(folder_names(spark, shared)) == before
+
+
+def people(spark, tmp_path, users, superusers):
+    schema = "datasource_user_id string, email string, name string"
+    return Directory(
+        spark.createDataFrame(users, schema),
+        spark.createDataFrame(superusers, "datasource_user_id string, email string"),
+        user_table(spark, f"{tmp_path}/users"),
+        reader_table(spark, f"{tmp_path}/readers"),
+    )
+
+
+def test_a_run_writes_users_and_readers(spark, tmp_path):
+    who = people(spark, tmp_path, [("1", "a@x", None), ("2", " ", "B")], [("1", "a@x"), ("9", "z@x")])
+    _, state, index = run_plain(spark, tmp_path, [(1, "a")], RunSettings(), who)
+    assert sorted(r["email"] for r in who.user_table.read().collect()) == ["a@x", "z@x"]
+    docs = index.documents(state.load())
+    assert docs.select("permissions.acl_id").first()["acl_id"] == "all"
+    readers = expand_readers(docs, who.reader_table.read())
+    assert sorted(tuple(r) for r in readers.collect()) == [
+        ("plain:1", "1", "a@x"), ("plain:1", "9", "z@x"),
+    ]
+
+
+def test_an_empty_reader_list_leaves_permissions_open_to_the_default(spark, tmp_path):
+    who = people(spark, tmp_path, [], [])
+    _, state, index = run_plain(spark, tmp_path, [(1, "a")], RunSettings(acl_id="all"), who)
+    assert index.documents(state.load()).first()["permissions"] is None
+    assert who.user_table.read().count() == 0
+
+
+def test_an_unreadable_directory_opens_nothing(spark, tmp_path):
+    who = people(spark, tmp_path, [("1", "a@x", None)], [])
+    broken = who.users.withColumn("email", F.raise_error(F.lit("no directory")).cast("string"))
+    who = replace(who, users=broken)
+    settings = RunSettings(allow_anonymous=True)
+    report, state, index = run_plain(spark, tmp_path, [(1, "a")], settings, who)
+    assert not report.ok and "no directory" in report.user_error
+    assert index.documents(state.load()).first()["permissions"] is None
