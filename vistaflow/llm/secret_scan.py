@@ -21,15 +21,15 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 
-# Weak candidates: none of them is reported alone.
+# Weak candidates: none of them is reported alone. Names may follow "_" and values "=".
 IDENTIFIER = re.compile(
-    r"""\b(?:A[KS]IA[A-Z0-9]{12,}|(?:client|account|tenant|access_?key|key|user)_?(?:id|name)["']?"""
+    r"""(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{12,}|(?:client|account|tenant|access_?key|key|user)_?(?:id|name)["']?"""
     r"""\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,64}|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})""",
     re.ASCII | re.IGNORECASE,
 )
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{%d,128}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_SECRET)
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,128}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_SECRET)
 ENDPOINT = re.compile(
-    r"""\b(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,200}|(?:host|endpoint|server|region|url)["']?"""
+    r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,200}|(?:host|endpoint|server|region|url)["']?"""
     r"""\x20*[:=]\x20*["']?[A-Za-z0-9.:/_-]{4,128})""",
     re.ASCII | re.IGNORECASE,
 )
@@ -53,6 +53,12 @@ def strong_enough(value: str) -> bool:
     return classes >= 2 and any(map(str.isdigit, value)) and len(set(value)) >= MIN_DISTINCT
 
 
+def within(span: tuple[int, int], others: list[tuple[int, int]], starts: list[int]) -> bool:
+    """Whether ``span`` lies in one of ``others``, which ascend without overlaps."""
+    at = bisect_right(starts, span[0]) - 1
+    return at >= 0 and span[1] <= others[at][1]
+
+
 def linked_spans(text: str) -> list[Span]:
     """Parts of credentials that occur together.
 
@@ -67,8 +73,9 @@ def linked_spans(text: str) -> list[Span]:
     if not identifiers:
         return []
     secrets = [m.span() for m in SECRET.finditer(text) if strong_enough(m[0])]
-    named = {s for s in identifiers}
-    secrets = [s for s in secrets if s not in named]
+    # The value of an identifier is no second part of it.
+    starts = [s for s, _ in identifiers]
+    secrets = [s for s in secrets if not within(s, identifiers, starts)]
     if not secrets:
         return []
     scopes = [0, *(m.end() for m in SCOPE_END.finditer(text)), len(text)]
