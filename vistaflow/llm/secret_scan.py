@@ -11,7 +11,7 @@ from vistaflow.llm.spans import Span, scan_spans
 
 BASE = ("assign", "access", "hex")
 LINKED = ("identifier", "secret", "endpoint")
-REACH = 400  # characters between the parts of one credential
+REACH = 400  # characters between the parts of one credential, where only near parts are wanted
 MIN_SECRET, MIN_DISTINCT = 24, 10
 
 ASSIGN = re.compile(
@@ -59,11 +59,11 @@ def within(span: tuple[int, int], others: list[tuple[int, int]], starts: list[in
     return at >= 0 and span[1] <= others[at][1]
 
 
-def linked_spans(text: str) -> list[Span]:
+def linked_spans(text: str, reach: int | None = REACH) -> list[Span]:
     """Parts of credentials that occur together.
 
-    The intervals of identifiers and secrets, widened by REACH and cut at the scope (a
-    paragraph), are joined: both lists are ordered, so the partners of an interval are one
+    The intervals of identifiers and secrets, widened to their whole scope (a paragraph), or
+    by ``reach`` characters and cut at the scope, are joined: both lists are ordered, so the partners of an interval are one
     range found by bisection. Every identifier with a secret and every secret with an
     identifier is reported, and every endpoint whose interval meets such a pair. Each
     candidate is looked at whole, however many there are: a range is only tested for being
@@ -82,8 +82,9 @@ def linked_spans(text: str) -> list[Span]:
 
     def meets(span, others_start, others_end) -> bool:
         at = bisect_right(scopes, span[0]) - 1
-        low = max(span[0] - REACH, scopes[at])
-        high = min(span[1] + REACH, scopes[min(at + 1, len(scopes) - 1)])
+        low, high = scopes[at], scopes[min(at + 1, len(scopes) - 1)]
+        if reach is not None:
+            low, high = max(span[0] - reach, low), min(span[1] + reach, high)
         # Others that end after ``low`` and start before ``high``; both lists ascend.
         return bisect_right(others_end, low) < bisect_left(others_start, high)
 
@@ -102,8 +103,13 @@ def linked_spans(text: str) -> list[Span]:
     ]
 
 
-def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
-    return base_spans(text), linked_spans(text) if "AKIA" in text or LIKELY.search(text) else []
+def find_secrets(text: str, reach: int | None = REACH) -> tuple[list[Span], list[Span]]:
+    return base_spans(text), linked_spans(text, reach) if "AKIA" in text or LIKELY.search(text) else []
+
+
+def find_in_scope(text: str) -> tuple[list[Span], list[Span]]:
+    """As find_secrets, with parts linked however far apart they are in their scope."""
+    return find_secrets(text, reach=None)
 
 
 # An identifier holds one of these; a quick look that most texts fail.
@@ -114,7 +120,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of ``docs``: id, n_assign, n_access, n_hex, base_sha256, spans.
 
     ``spans`` holds the base spans and the linked parts (identifier, secret, endpoint), as
-    kind:start:end in code points. Null and empty texts have no spans; texts are taken whole.
+    kind:start:end in code points; parts are linked within a whole paragraph. Null and empty texts have no spans; texts are taken whole.
     Repeated rows give repeated results, an empty table none; other columns are not read.
     """
-    return scan_spans(docs, find_secrets, BASE, (*BASE, *LINKED), id_col, text_col)
+    return scan_spans(docs, find_in_scope, BASE, (*BASE, *LINKED), id_col, text_col)
