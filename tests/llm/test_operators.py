@@ -197,6 +197,21 @@ def test_secrets_link_across_a_scope(spark, docs):
     assert kinds == {0: ["access", "identifier", "secret", "endpoint"], 1: ["access"]}
 
 
+@pytest.mark.parametrize("times", [1, 3, 200])
+def test_secrets_of_any_length(times):
+    name, secret = "user-1.example@" * 5 * times + "z", "wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY1" * 4 * times
+    host, url = "a1.b2-" * 30 * times + "com", "https://example.com/" + "p/q?r=s&" * 30 * times
+    text = f"user_id: {name}\nvalue {secret}==\nhost: {host}\n{url}"
+    whole = {text[s.start : s.end] for s in secret_scan.find_in_scope(text)[1]}
+    assert whole == {f"user_id: {name}", secret + "==", f"host: {host}", url}
+
+
+@pytest.mark.parametrize("text", ["user_id: abcd " + x for x in (
+    "A1" * 150_000 + ".", "A1" * 150_000 + "=" * 300_000, "x://" * 75_000, "host=" * 60_000, "_a" * 150_000)])
+def test_long_candidates_stay_fast(text):
+    secret_scan.find_in_scope(text)
+
+
 def test_span_tables(docs, nothing):
     for scan in (pii.scan_personal_data, secret_scan.scan_secrets):
         assert len(rows(scan(docs))) == len(EDGE) and rows(scan(nothing)) == []

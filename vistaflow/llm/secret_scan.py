@@ -24,13 +24,13 @@ HEX = re.compile(r"[0-9a-f]{32,}")
 # Weak candidates: none of them is reported alone. Names may follow "_" and values "=".
 IDENTIFIER = re.compile(
     r"""(?<![A-Za-z0-9])(?:A[KS]IA[A-Z0-9]{12,}|(?:client|account|tenant|access_?key|key|user)_?(?:id|name)["']?"""
-    r"""\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,64}|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})""",
+    r"""\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{4,}|[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})""",
     re.ASCII | re.IGNORECASE,
 )
-SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,128}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_SECRET)
+SECRET = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}={0,2}(?![A-Za-z0-9+/_=-])" % MIN_SECRET)
 ENDPOINT = re.compile(
-    r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,200}|(?:host|endpoint|server|region|url)["']?"""
-    r"""\x20*[:=]\x20*["']?[A-Za-z0-9.:/_-]{4,128})""",
+    r"""(?<![A-Za-z0-9])(?:[a-z][a-z0-9+.-]{1,15}://[^\s"'<>]{4,}|(?:host|endpoint|server|region|url)["']?"""
+    r"""\x20*[:=]\x20*["']?[A-Za-z0-9.:/_-]{4,})""",
     re.ASCII | re.IGNORECASE,
 )
 SCOPE_END = re.compile(r"\n[ \t\r]*\n")
