@@ -149,6 +149,33 @@ def test_disguises(text, found):
     assert [text[s.start : s.end] for s in added] == found
 
 
+@pytest.mark.parametrize("text, found", [
+    ("mail jane (at) example dot com now", ["jane (at) example dot com"]),
+    ("mail jane at example [dot] com now", ["jane at example [dot] com"]),
+    ("jane [@] mail [.] example dot com", ["jane [@] mail [.] example dot com"]),
+    ("jane at mail dot example (dot) com", ["jane at mail dot example (dot) com"]),
+    ("jane at mail.example dot com", ["jane at mail.example dot com"]),
+    ("ring +1 415 five five five 0199 now", ["+1 415 five five five 0199"]),
+    ("ring plus 44 twenty, +1415555 five 0199", ["+1415555 five 0199"]),
+    ("plus 44 20 seven nine 460958", ["plus 44 20 seven nine 460958"]),
+    ("+1 415. five five five. 0199", ["+1 415. five five five. 0199"]),
+    ("at 192.168 dot one dot 254 now", ["192.168 dot one dot 254"]),
+    ("card 4111 1111 one one one one 1111", ["4111 1111 one one one one 1111"]),
+    ("in 2024 one nine two dot one six eight dot zero dot one", ["one nine two dot one six eight dot zero dot one"]),
+    ("meet at example.com, section 10.2.3. One more", []), ("jane [or] joe at example.com", []),
+])
+def test_mixed_disguises(text, found):
+    base, added = pii.find_personal_data(text)
+    assert [text[s.start : s.end] for s in added] == found
+
+
+@pytest.mark.parametrize("text", [
+    "1 one " + "1" * 300_000, "1 one " * 50_000, "12 one. " * 40_000, "a(at)b dot c" + ".c" * 150_000,
+    "a at b" * 50_000 + " dot c", "one 1 " + "a@b.c" * 60_000, "one 1 a" + " \t" * 150_000, "1 dot " * 50_000])
+def test_long_disguises_stay_fast(text):
+    pii.find_personal_data(text)
+
+
 @pytest.mark.parametrize("text", ["a" * 300_000 + "@", "1" * 300_000, "one " * 50_000, "(" * 300_000,
                                   " " * 300_000, "+1" + "(" * 300_000, "f" * 300_000 + "=", "a-" * 150_000])
 def test_long_runs_stay_fast(text):

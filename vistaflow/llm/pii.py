@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from bisect import bisect_right
+from bisect import bisect_right, insort
 from functools import cache
 
 from pyspark.sql import DataFrame
@@ -76,11 +76,16 @@ DIGIT_WORDS = {"zero": "0", "oh": "0", "one": "1", "two": "2", "three": "3", "fo
 WORD = "|".join(DIGIT_WORDS)
 DIGIT_RUN = re.compile(rf"\b(?:plus[ -]+)?(?:(?:{WORD}|dot|[0-9])(?:[ ,.-]{{1,2}}|\b)){{4,}}", re.IGNORECASE)
 DIGIT_PART = re.compile(rf"(plus)[ -]+|({WORD})|[ ,.-]*\b(dot)\b[ ,.-]*|[ ,]+", re.IGNORECASE)
-BRACKETED = re.compile(r"[ \t]*[\[({<][ \t]*(at|dot|@|\.)[ \t]*[\])}>][ \t]*", re.IGNORECASE)
+# The same with numbers of several digits; a space after a stop stays, it may end a sentence.
+NUMBER_RUN = re.compile(
+    rf"\b(?:plus[ -]+)?(?:(?:{WORD}|dot|[0-9]++)(?:[ ,.-]{{1,2}}|\b)){{2,}}", re.IGNORECASE)
+NUMBER_PART = re.compile(
+    rf"(plus)[ -]+|({WORD})|[ ,.-]*\b(dot)\b[ ,.-]*|(?<!\.)[ ,]+", re.IGNORECASE)
+BRACKETED = re.compile(r"(?:(?<![ \t])[ \t]++)?[\[({<][ \t]*(at|dot|@|\.)[ \t]*[\])}>][ \t]*", re.IGNORECASE)
 SPACED = re.compile(
-    r"(?<=[A-Za-z0-9])([ \t]+at[ \t]+|@)([A-Za-z0-9-]+)((?:[ \t]+dot[ \t]+[A-Za-z0-9-]+)+)(?![A-Za-z0-9])",
+    r"(?<=[A-Za-z0-9])([ \t]+at[ \t]+|@)([A-Za-z0-9-]+(?:(?:\.|[ \t]+dot[ \t]+)[A-Za-z0-9-]+)+)(?![A-Za-z0-9])",
     re.IGNORECASE)
-SPACED_DOT = re.compile(r"[ \t]+dot[ \t]+", re.IGNORECASE)
+SPACED_DOT = re.compile(r"\.|[ \t]+dot[ \t]+", re.IGNORECASE)
 # What may be a lookalike: beyond Latin letters, marks and general punctuation.
 FOREIGN = f"[^\\x00-{chr(0x2FF)}{chr(0x2000)}-{chr(0x206F)}]"
 ODD = re.compile(FOREIGN)
@@ -156,67 +161,93 @@ class Rewritten:
         return not all(self.copied[a : b + 1])
 
 
-def lookalikes(text: str) -> list[tuple[int, int, str]]:
+def lookalikes(now: Rewritten) -> list[tuple[int, int, str]]:
     found = []
-    for m in ODD.finditer(text):
+    for m in ODD.finditer(now.text):
         new = plain(m[0])
         if new != m[0]:
             found.append((m.start(), m.end(), new))
     return found
 
 
-def signs(text: str) -> list[tuple[int, int, str]]:
-    """At and dot in brackets, and as words where both occur in one address."""
-    found = [(*m.span(), "@" if m[1].lower() in ("at", "@") else ".") for m in BRACKETED.finditer(text)]
-    taken = sorted(found)
-    for m in SPACED.finditer(text):
-        rest = [(m.start(3) + d.start(), m.start(3) + d.end(), ".") for d in SPACED_DOT.finditer(m[3])]
-        edits = [(*m.span(1), "@"), *rest]
-        at = bisect_right(taken, edits[0]) - 1
-        if (at < 0 or taken[at][1] <= m.start()) and (at + 1 >= len(taken) or taken[at + 1][0] >= m.end()):
-            found += edits
-    return sorted(found)
+def bracketed(now: Rewritten) -> list[tuple[int, int, str]]:
+    """At and dot in brackets."""
+    return [(*m.span(), "@" if m[1].lower() in ("at", "@") else ".") for m in BRACKETED.finditer(now.text)]
 
 
-def digit_words(text: str) -> list[tuple[int, int, str]]:
+def spaced(now: Rewritten) -> list[tuple[int, int, str]]:
+    """At and dot as words, where both occur in one address or the other was in brackets."""
+    found = []
+    for m in SPACED.finditer(now.text):
+        dots = [(m.start(2) + d.start(), m.start(2) + d.end()) for d in SPACED_DOT.finditer(m[2])]
+        spans = [now.span(*d) for d in dots]
+        if all(end - begin == 1 for begin, end in spans):
+            continue  # "at example.com" is no disguise, its dots are plain
+        if m[1] != "@":
+            found.append((*m.span(1), "@"))
+        found += [(*d, ".") for d in dots if now.text[d[0]] != "."]
+    return found
+
+
+def digit_words(now: Rewritten, run_of=DIGIT_RUN, part_of=DIGIT_PART) -> list[tuple[int, int, str]]:
     """Digits written as words, in runs of at least four; the words of a run are joined."""
     found = []
-    for run in DIGIT_RUN.finditer(text):
+    for run in run_of.finditer(now.text):
         if not re.search(WORD, run[0], re.IGNORECASE):
             continue
         end = run.start() + len(run[0].rstrip(" ,.-"))
-        for m in DIGIT_PART.finditer(text, run.start(), end):
+        for m in part_of.finditer(now.text, run.start(), end):
             new = "+" if m[1] else DIGIT_WORDS[m[2].lower()] if m[2] else "." if m[3] else ""
             found.append((*m.span(), new))
     return found
 
 
-STEPS = (lookalikes, signs, digit_words)
+def number_words(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Digits written as words beside numbers of any length, in runs of at least two."""
+    return digit_words(now, NUMBER_RUN, NUMBER_PART)
+
+
+STEPS = (lookalikes, bracketed, spaced)
+READINGS = (digit_words, number_words)  # of the same text; what an earlier one finds stays
 SUSPECT = re.compile(
     rf"{FOREIGN}|[\[({{<][ \t]*(?:at|dot|@|\.)[ \t]*[\])}}>]|[ \t]dot[ \t]"
-    rf"|\b(?:{WORD})[ ,.-]{{1,2}}(?:{WORD}|[0-9])\b",
+    rf"|\b(?:{WORD})[ ,.-]{{1,2}}(?:{WORD}|[0-9]+)\b|\b[0-9]++[ ,.-]{{1,2}}(?:{WORD})\b",
     re.IGNORECASE)
 
 
 def hidden_spans(text: str, base: list[Span]) -> list[Span]:
     """Identifiers that show only after rewriting, as ranges of the source.
 
-    Three transducers rewrite the text one after the other, each keeping the source range of
-    every piece. What the plain search then finds over a rewritten piece is mapped back, and
-    kept if no base span of its kind overlaps it.
+    Transducers rewrite the text one after the other, each keeping the source range of every
+    piece; the last comes in two readings. What the plain search then finds over a rewritten
+    piece is mapped back, and kept if no base span of its kind, or span of an earlier reading,
+    overlaps it.
     """
     if not SUSPECT.search(text):
         return []
     now, edited = Rewritten(text), False
     for step in STEPS:
-        edits = step(now.text)
+        edits = step(now)
         if edits:
             now, edited = now.apply(edits), True
-    if not edited:
-        return []
     known: dict[str, list[Span]] = {}
     for span in base:
         known.setdefault(span.kind, []).append(span)
+    found, read = [], []
+    for reading in READINGS:
+        edits = reading(now)
+        if edits in read or not (edits or edited):
+            continue
+        read.append(edits)
+        added = new_spans(now.apply(edits) if edits else now, known)
+        for span in added:
+            insort(known.setdefault(span.kind, []), span, key=lambda s: s.start)
+        found += added
+    return found
+
+
+def new_spans(now: Rewritten, known: dict[str, list[Span]]) -> list[Span]:
+    """Source ranges found over rewritten pieces, without those that meet a known span of their kind."""
     found = []
     for span in base_spans(now.text):
         if not now.changed(span.start, span.end):
