@@ -405,3 +405,13 @@ def test_toxicity(spark, nothing):
             assert row["predicted"] == int(row["doc_id"] % 5 == 0)
     assert rows(toxicity.toxicity(nothing, known)) == []
     assert {r["predicted"] for r in toxicity.toxicity(table, known.filter("toxic = 0")).collect()} == {0}
+
+
+def test_toxicity_selects_many_features(spark):
+    random.seed(19)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    calm, bad = (["".join(random.choices(letters, k=9)) for _ in range(400)] for _ in range(2))
+    data = [(i, " ".join(random.choices(bad if i % 2 else calm, k=60)), i % 2) for i in range(400)]
+    table = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.learn(table, table.select("doc_id", "toxic"))
+    assert 1024 < len(model.buckets) <= 4096
