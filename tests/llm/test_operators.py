@@ -415,3 +415,14 @@ def test_toxicity_selects_many_features(spark):
     table = spark.createDataFrame(data, "doc_id long, text string, toxic int")
     model = toxicity.learn(table, table.select("doc_id", "toxic"))
     assert 1024 < len(model.buckets) <= 4096
+
+
+def test_toxicity_keeps_scarce_positives(spark):
+    random.seed(23)
+    calm = [f"calm{c}word" for c in "abcdefghij"]
+    data = [(i, " ".join(random.choices(calm, k=20) + ["nastiness", "horridly"] * (i % 50 == 0)), int(i % 50 == 0))
+            for i in range(4000)]
+    table = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    model = toxicity.learn(table, table.select("doc_id", "toxic"), train_rows=150)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(table, model).collect()}
+    assert got == {i: toxic for i, _, toxic in data}

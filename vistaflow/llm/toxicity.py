@@ -17,7 +17,7 @@ from vistaflow.session import staged
 WIDTH = 5  # characters of a feature
 BUCKETS = 1 << 18
 FEATURES = 4_096  # at most 65,536: numbers of features travel in two bytes
-TRAIN_ROWS = 24_000  # documented bound: labelled rows that the classifier is fitted on
+TRAIN_ROWS = 24_000  # documented bound, of positives and of the unlabelled sample each
 MIN_DOCUMENTS = 4
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 ENTRIES = 1 << 20  # pairs of row and feature that a step of the fit takes at once
@@ -68,18 +68,19 @@ class Model:
         return 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
 
 
-def fit(row: np.ndarray, feature: np.ndarray, positive: np.ndarray, prior: float, size: int):
+def fit(row: np.ndarray, feature: np.ndarray, positive: np.ndarray, drawn: np.ndarray, prior: float,
+        size: int):
     """Weights and bias that minimise the non-negative risk for positive and unlabelled rows.
 
-    ``positive`` marks the rows known to be positive; the unlabelled sample is all rows,
-    with no regard to their labels. The risk of calling an unlabelled row negative holds the
-    positives among them, which the class prior takes out again; where that difference falls
-    below zero, the step goes against it instead (Kiryo et al. 2017). Logistic loss, Adam.
+    ``positive`` marks the rows known to be positive, ``drawn`` the unlabelled sample: rows
+    drawn with no regard to their labels. Each counts by its own number of rows. The risk of
+    calling an unlabelled row negative holds the positives among them, which the class prior
+    takes out again; where that difference falls below zero, the step goes against it instead (Kiryo et al. 2017). Logistic loss, Adam.
     """
     rows = len(positive)
     weights, bias = np.zeros(size), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     known = positive.astype(float) / max(positive.sum(), 1)
-    every = np.full(rows, 1.0 / max(rows, 1))
+    every = drawn.astype(float) / max(drawn.sum(), 1)
     first, second = np.zeros(size + 1), np.zeros(size + 1)
     parts = [(row[a : a + ENTRIES], feature[a : a + ENTRIES]) for a in range(0, len(row), ENTRIES)]
     for step in range(1, STEPS + 1):
@@ -122,8 +123,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit on labelled documents outside the held-out fold.
 
     The class prior is the share of positives among all those labels. The classifier is
-    fitted on about ``train_rows`` of the rows, chosen by a hash of the id (all rows, if there
-    are no more). A repeated label counts as positive if any of its rows is. Rows without id,
+    fitted on about ``train_rows`` of the positives and as many of all rows, each chosen by a
+    hash of the id (all, if there are no more). A repeated label counts as positive if any of its rows is. Rows without id,
     label or text are left out; without positives every score is 0.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -138,11 +139,12 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return Model(np.zeros(0, np.int64), np.zeros(0), -500.0)
     prior = positives / total
     span = 1 << 30
-    chosen = staged(
-        known.filter(F.pmod(F.xxhash64(id_col), F.lit(span)) < F.lit(int(span * min(1, train_rows / total)))),
-        "labels")
+    hashed = F.pmod(F.xxhash64(id_col), F.lit(span))
+    drawn = hashed < F.lit(int(span * min(1, train_rows / total)))
+    positive = (F.col("_label") == 1) & (hashed < F.lit(int(span * min(1, train_rows / positives))))
+    chosen = staged(known.withColumn("_drawn", drawn.cast("int")).filter(drawn | positive), "labels")
     rows = measured_join(docs.select(id_col, F.col(text_col).alias("text")).dropna(), chosen, id_col)
-    rows = staged(rows.select("text", "_label"), "training")
+    rows = staged(rows.select("text", "_label", "_drawn"), "training")
     counted = StructType([StructField("bucket", IntegerType()), StructField("found", LongType()),
                           StructField("hits", LongType())])
     counted_out = to_arrow_schema(counted)
@@ -171,7 +173,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     buckets = np.sort(table["bucket"].to_numpy(np.int64)[best[power[best] > 0]])
     place = np.full(BUCKETS, -1, np.int32)
     place[buckets] = np.arange(len(buckets))
-    listed = StructType([StructField("label", IntegerType()), StructField("features", BinaryType())])
+    listed = StructType([StructField("label", IntegerType()), StructField("drawn", IntegerType()),
+                         StructField("features", BinaryType())])
     listed_out = to_arrow_schema(listed)
 
     def select(batches):
@@ -183,14 +186,15 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             bounds = np.searchsorted(owner, np.arange(batch.num_rows + 1))
             yield record_batch({
                 "label": batch.column("_label"),
+                "drawn": batch.column("_drawn"),
                 "features": [at[a:b].tobytes() for a, b in zip(bounds, bounds[1:])],
             }, listed_out)
 
-    sample = rows.mapInArrow(select, listed).toPandas()  # bounded by train_rows
+    sample = rows.mapInArrow(select, listed).toPandas()  # bounded by twice train_rows
     lengths = sample["features"].map(len).to_numpy(np.int64) // 2
     feature = np.frombuffer(b"".join(sample["features"]), "<u2")
     weights, bias = fit(np.repeat(np.arange(len(sample), dtype=np.int32), lengths), feature,
-                        sample["label"].to_numpy() == 1, prior, len(buckets))
+                        sample["label"].to_numpy() == 1, sample["drawn"].to_numpy() == 1, prior, len(buckets))
     return Model(buckets, weights, bias)
 
 
