@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
+from array import array
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,14 +21,24 @@ from vistaflow.session import staged
 
 CAPACITY = 2048
 END_ID = 0
-CACHED_CHUNKS, CACHED_LENGTH = 400_000, 64
+CACHED_CHUNKS, CACHED_LENGTH = 800_000, 64
+
+
+# Letters whose normal form and lower case stand alone, and ASCII signs that start no
+# contraction: a chunk of these parts into runs of letters, single digits and runs of signs.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+PLAIN = re.compile(f"[!-&(-~{LETTERS}]+")
+PART = re.compile(f"[{LETTERS}]+|[0-9]|[^0-9{LETTERS}]+")
 
 
 class ChunkEncoder:
     """Token ids of texts, from the library's ids of their blank-separated chunks.
 
     White space parts tokens in this vocabulary and gives none itself, so a text's ids are
-    those of its chunks in turn. Ids of short chunks are kept, up to a number of them.
+    those of its chunks in turn. A chunk of plain letters and signs goes part by part to the
+    library's model, with each character as the library's own steps rewrite it; any other
+    chunk, or one that may hold a special token, goes through the whole library. Ids of short
+    chunks and parts are kept, up to a number of them.
     """
 
     def __init__(self, model: bytes):
@@ -33,22 +46,50 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(model.decode())
+        self.model = self.library.model
+        before, step = self.library.normalizer, self.library.pre_tokenizer
+        plain = [chr(c) for c in range(33, 256) if PLAIN.fullmatch(chr(c))]
+        self.rewritten = {ord(c): step.pre_tokenize_str(before.normalize_str(c))[0][0] for c in plain}
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {}
+
+    def _by_parts(self, chunk: str) -> bytes:
+        out = []
+        for part in PART.findall(chunk):
+            ids = self.parts.get(part)
+            if ids is None:
+                found = self.model.tokenize(part.translate(self.rewritten))
+                ids = array("I", [t.id for t in found]).tobytes()
+                if len(part) <= CACHED_LENGTH:
+                    self.parts[part] = ids
+            out.append(ids)
+        return b"".join(out)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         chunks = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({c for part in chunks for c in part if c not in self.known})
-        found = self.library.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((c, np.array(e.ids, np.uint32).tobytes()) for c, e in zip(new, found))
+        new = set()
+        for part in chunks:
+            new.update(part)
+        new = list(new.difference(self.known))
+        hard = [c for c in new if "<|" in c or not PLAIN.fullmatch(c)]
+        found = self.library.encode_batch_fast(hard, add_special_tokens=False)
+        fresh = {c: array("I", e.ids).tobytes() for c, e in zip(hard, found)}
+        self.known.update((c, fresh[c] if c in fresh else self._by_parts(c)) for c in new)
         ids = [np.frombuffer(b"".join([self.known[c] for c in part]), np.uint32) for part in chunks]
         for chunk in new:
             if len(chunk) > CACHED_LENGTH:
                 del self.known[chunk]
-        if len(self.known) > CACHED_CHUNKS:
-            self.known = {"": b""}
+        if len(self.known) + len(self.parts) > CACHED_CHUNKS:
+            self.known, self.parts = {"": b""}, {}
         return ids
 
 
+@lru_cache(maxsize=1)
+def chunk_encoder(model: bytes) -> ChunkEncoder:
+    """The encoder of a worker, which its tasks share."""
+    return ChunkEncoder(model)
+
+
 def token_pieces(docs: DataFrame, model: bytes, capacity: int = CAPACITY, end_id: int = END_ID,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, piece, start, length, ids) of each document's tokens and ``end_id`` after them.
@@ -67,7 +108,7 @@ def token_pieces(docs: DataFrame, model: bytes, capacity: int = CAPACITY, end_id
     out = to_arrow_schema(schema)
 
     def cut(batches):
-        encoder = ChunkEncoder(model)
+        encoder = chunk_encoder(model)
         end = np.array([end_id], np.uint32)
         for batch in slices(batches, text_col):
             columns = {f.name: [] for f in out}
