@@ -313,7 +313,7 @@ def test_archive(spark, tmp_path, nothing):
 def brute_similar(documents):
     sets = [set(s.tolist()) for s in jaccard_join.shingle_sets(pa.array([t for _, t in documents], pa.string()))]
     ids = [i for i, _ in documents]
-    root, links = list(range(len(ids))), [0] * len(ids)
+    root = list(range(len(ids)))
 
     def find(x):
         while root[x] != x:
@@ -324,14 +324,16 @@ def brute_similar(documents):
         for b in range(a):
             if ids[a] is not None and ids[b] is not None and sets[a] and sets[b]:
                 if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
-                    links[a] += 1
-                    links[b] += 1
                     root[max(find(a), find(b))] = min(find(a), find(b))
-    least = {}
+    least, same, size = {}, {}, {}
     for k, i in enumerate(ids):
         if i is not None:
+            key = frozenset(sets[k]) or k
+            same[key] = min(same.get(key, i), i)
             least[find(k)] = min(least.get(find(k), i), i)
-    return sorted(((i, least[find(k)] if i is not None else None, links[k]) for k, i in enumerate(ids)), key=repr)
+            size[find(k)] = size.get(find(k), 0) + 1
+    return sorted(((i, None, None, 1) if i is None else (i, least[find(k)], same[frozenset(sets[k]) or k], size[find(k)])
+                   for k, i in enumerate(ids)), key=repr)
 
 
 @pytest.mark.parametrize("block", [2, 256])
@@ -353,6 +355,51 @@ def test_similar_documents(spark, docs, nothing, monkeypatch, block):
     assert rows(jaccard_join.similar_documents(nothing)) == []
 
 
+def one_class(spark, count, changes, words=60):
+    """Near copies of one text, each with some words of its own."""
+    random.seed(count)
+    base = [f"w{i}" for i in range(words)]
+    documents = []
+    for i in range(count):
+        own = list(base)
+        for k in random.sample(range(words), changes):
+            own[k] = f"x{i}y{k}"
+        documents.append((i, " ".join(own)))
+    return documents
+
+
+def test_links_of_a_class_grow_with_its_rows(spark, monkeypatch):
+    """Three times the near copies give about three times the links, not nine times."""
+    counted = []
+
+    def counting(links):
+        links = links.persist()
+        counted.append(links.count())
+        return components.components(links)
+
+    monkeypatch.setattr(jaccard_join, "components", counting)
+    monkeypatch.setattr(jaccard_join, "BUCKET_BLOCK", 64)
+    monkeypatch.setattr(jaccard_join, "CLUSTER_BLOCK", 32)
+    for count in (300, 900):
+        table = spark.createDataFrame(one_class(spark, count, 1, 400), "doc_id long, text string")
+        got = jaccard_join.similar_documents(table).collect()
+        assert {(r["class_id"], r["class_size"]) for r in got} == {(0, count)}
+    (first, second), (third, fourth) = counted[:2], counted[2:]
+    assert third < 4 * first and fourth < 4 * second and fourth < 1.5 * 900
+
+
+@pytest.mark.parametrize("changes", [1, 3])
+def test_hot_classes_like_brute_force(spark, monkeypatch, changes):
+    """A hot bucket whose rows reach each other only in part, in many small chunks; no broadcasts."""
+    monkeypatch.setattr(jaccard_join, "BUCKET_BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "CLUSTER_BLOCK", 4)
+    monkeypatch.setattr(jaccard_join.measured_join, "__defaults__", (None, 0, "inner"))
+    documents = one_class(spark, 90, changes, 70) + [(i + 500, t) for i, t in one_class(spark, 20, 1, 64)]
+    documents += [(900, " ".join(f"w{i}" for i in range(70)))]
+    table = spark.createDataFrame(documents, "doc_id long, text string")
+    assert rows(jaccard_join.similar_documents(table)) == brute_similar(documents)
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     needed = jaccard_join.needed_matches()
     assert needed == sorted(needed) and needed[-1] < 0.8 * jaccard_join.HASHES

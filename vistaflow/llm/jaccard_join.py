@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from fractions import Fraction
 from math import comb
 
@@ -146,25 +147,34 @@ def signature_matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, HASHES)
 
 
-def candidate_links(values: np.ndarray, group: np.ndarray, side: np.ndarray, cross: np.ndarray,
-                    needed: list[int]) -> list[tuple[int, int]]:
-    """Links that connect what unpruned pairs of one group connect.
+def group_starts(group: np.ndarray) -> np.ndarray:
+    """The first row of each group, and the end."""
+    return np.flatnonzero(np.diff(group, prepend=-1, append=group[-1] + 1))
 
-    Rows are compared with the row 1, 2, ... places on, as long as that is in the same
-    group; pairs that are connected already are not compared.
+
+def candidate_forest(values: np.ndarray, group: np.ndarray, needed: list[int]) -> Forest:
+    """What unpruned pairs of one group connect.
+
+    Rows are compared with the first one of their group, then with the row 1, 2, ... places
+    on, as long as that is in the same group; pairs that are connected already are not
+    compared.
     """
     forest = Forest(len(group))
+    starts = group_starts(group)
+    first = np.repeat(starts[:-1], np.diff(starts))
+    rest = np.flatnonzero(first != np.arange(len(group)))
+    forest.add(*prune(values, first[rest], rest, needed))
     gap = 1
     while gap < len(group):
         i = np.flatnonzero(group[:-gap] == group[gap:])
         if not len(i):
             break
         j = i + gap
-        open_ = (forest.root[i] != forest.root[j]) & (~cross[i] | (side[i] != side[j]))
+        open_ = forest.root[i] != forest.root[j]
         if open_.any():
             forest.add(*prune(values, i[open_], j[open_], needed))
         gap += 1
-    return forest.links()
+    return forest
 
 
 def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
@@ -190,48 +200,135 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     return total.astype(np.int64)
 
 
-def verified(sets: list[np.ndarray], values: np.ndarray, copies: np.ndarray, side: np.ndarray,
-             cross: bool, needed: list[int], threshold: Fraction):
-    """For rows of one group: number of linked documents of each, and connecting links."""
-    i, j = np.triu_indices(len(sets), 1)
-    if cross:
-        apart = side[i] != side[j]
-        i, j = i[apart], j[apart]
-    i, j = prune(values, i, j, needed)
-    linked = np.zeros(len(sets), np.int64)
-    forest = Forest(len(sets))
-    if len(i):
+def similar_pairs(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, threshold: Fraction) -> tuple:
+    """The pairs of sets at or over the threshold, by exact sizes of their intersections."""
+    if not len(i):
+        return i, j
+    sizes = np.array([len(s) for s in sets])
+    if (i == i[0]).all():
+        joined = np.concatenate([sets[k] for k in j.tolist()])
+        own = sets[i[0]]
+        at = np.minimum(np.searchsorted(own, joined), len(own) - 1)
+        both = np.add.reduceat((own[at] == joined).astype(np.int64), np.cumsum(sizes[j]) - sizes[j])
+    else:
         used = np.unique(np.concatenate((i, j)))
         shared = shared_counts([sets[k] for k in used])
         both = shared[np.searchsorted(used, i), np.searchsorted(used, j)]
-        sizes = np.array([len(s) for s in sets])
-        either = sizes[i] + sizes[j] - both
-        true = both * threshold.denominator >= either * threshold.numerator
-        i, j = i[true], j[true]
-        np.add.at(linked, i, copies[j])
-        np.add.at(linked, j, copies[i])
-        while len(i):
-            # One link of each row at a time, until all links join connected rows.
-            _, first = np.unique(i, return_index=True)
-            forest.add(i[first], j[first])
-            left = forest.root[i] != forest.root[j]
-            i, j = i[left], j[left]
-    return linked, forest.links()
-
-
-def in_blocks(rows: DataFrame, key: str, size: int) -> DataFrame:
-    """Rows of hot groups dealt to pairs of blocks, so that every pair of rows meets.
-
-    ``rows`` has ``key``, ``node`` and ``members`` (rows of the group). A group of n rows
-    becomes n / size blocks by a hash; a row goes to the pairs of its block with each block.
-    Adds ``low`` and ``high`` (the pair of blocks) and ``side`` (the row's own block).
+    true = both * threshold.denominator >= (sizes[i] + sizes[j] - both) * threshold.numerator
+    return i[true], j[true]
+
+
+def unite(forest: Forest, i: np.ndarray, j: np.ndarray):
+    """Add links, one of each row at a time, until all of them join connected rows."""
+    while len(i):
+        _, first = np.unique(i, return_index=True)
+        forest.add(i[first], j[first])
+        left = forest.root[i] != forest.root[j]
+        i, j = i[left], j[left]
+
+
+def verified_forest(sets: list[np.ndarray], values: np.ndarray, group: np.ndarray, needed: list[int],
+                    threshold: Fraction) -> Forest:
+    """What exactly verified pairs of one group connect; rows meet the first of their group first."""
+    forest = Forest(len(group))
+    starts = group_starts(group).tolist()
+    for low, high in zip(starts, starts[1:]):
+        rest = np.arange(low + 1, high)
+        unite(forest, *similar_pairs(sets, *prune(values, np.full(len(rest), low), rest, needed), threshold)[::-1])
+        i, j = np.triu_indices(high - low, 1)
+        i, j = i + low, j + low
+        apart = forest.root[i] != forest.root[j]
+        unite(forest, *similar_pairs(sets, *prune(values, i[apart], j[apart], needed), threshold))
+    return forest
+
+
+def in_chunks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows of groups dealt to chunks of about ``size``; a group's pivot goes to all of its chunks.
+
+    ``rows`` has ``node``, ``members`` (rows of the group) and ``pivot``. Adds ``chunks``,
+    ``own`` (the row's chunk) and ``chunk``.
+    """
+    rows = rows.withColumn("chunks", F.ceil(F.col("members") / F.lit(size)).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", F.lit(17)), F.col("chunks")).cast("int"))
+    every = F.sequence(F.lit(0), F.col("chunks") - 1)
+    return rows.withColumn("chunk", F.explode(F.when(F.col("pivot"), every).otherwise(F.array("own"))))
+
+
+def connect(rows: Callable[[DataFrame | None], DataFrame], key: str, size: int, payload: list[str],
+            forest_of: Callable, judge: Callable, label: str) -> DataFrame:
+    """Links (a, b) of nodes that connect all that the links between rows of one group connect.
+
+    ``rows(keys)`` gives the rows of all groups, or of those in ``keys``: ``key``, ``node``,
+    ``members``, ``pivot`` (true for one row) and the ``payload`` that pairs are judged by.
+    Each row meets its group's pivot and the rows of its chunk (``forest_of(table, group)``).
+    What gets connected to the pivot is settled: it has one link. Of groups of several chunks, the
+    rows left open meet the other chunks too (``judge(table)`` gives what tells linked pairs), and
+    only these. So the
+    copies of one text cost one comparison and one link each, however many there are.
     """
-    blocks = F.ceil(F.col("members") / F.lit(size)).cast("int")
-    own = F.pmod(F.xxhash64("node", F.lit(17)), blocks).cast("int")
-    dealt = rows.withColumn("side", own).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return dealt.withColumn("low", F.least("side", "_other")).withColumn(
-        "high", F.greatest("side", "_other")).drop("_other", "members")
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    every = rows(None)
+    found = StructType([*LINK.fields, StructField("key", every.schema[key].dataType)])
+    found_out, link_out = to_arrow_schema(found), to_arrow_schema(LINK)
+
+    def near(batches):
+        for table in group_runs(batches, [key, "chunk"]):
+            group = group_numbers(table, [key, "chunk"])
+            starts = group_starts(group)
+            root = forest_of(table, group).root
+            first = np.repeat(starts[:-1], np.diff(starts))
+            hung = np.flatnonzero(root != np.arange(len(root)))
+            several = table.column("chunks").to_numpy() > 1
+            open_ = np.flatnonzero(several & (root != root[first]))
+            node, keys = table.column("node").combine_chunks(), table.column(key).combine_chunks()
+            a = pa.concat_arrays([node.take(pa.array(hung)), node.take(pa.array(open_))])
+            b = pa.concat_arrays([node.take(pa.array(root[hung])), pa.nulls(len(open_), node.type)])
+            own = pa.concat_arrays([pa.nulls(len(hung), keys.type), keys.take(pa.array(open_))])
+            yield record_batch({"a": a, "b": b, "key": own}, found_out)
+
+    dealt = in_chunks(every, size).repartition(key, "chunk")
+    dealt = dealt.sortWithinPartitions(key, "chunk", F.desc("pivot"), "node")
+    first = staged(dealt.select(key, "chunk", "chunks", "node", *payload).mapInArrow(near, found), label)
+    links, opened = first.filter("b IS NOT NULL").select("a", "b"), first.filter("b IS NULL")
+    if opened.isEmpty():
+        return links
+    opened = opened.select(F.col("key").alias(key), F.col("a").alias("node"), F.lit(True).alias("open"))
+    hot = staged(opened.groupBy(key).agg(F.count(F.lit(1)).alias("opened")), label)
+    again = in_chunks(rows(hot.select(key)), size).filter("chunk = own").join(hot, key)
+    again = again.join(opened, [key, "node"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    again = again.withColumn("strips", F.ceil(F.col("opened") / F.lit(size)).cast("int"))
+    strip = F.pmod(F.xxhash64("node", F.lit(23)), F.col("strips")).cast("int")
+    columns = [key, "strip", "chunk", "seeks", "open", "node", *payload]
+    others = again.withColumn("strip", F.explode(F.sequence(F.lit(0), F.col("strips") - 1)))
+    others = others.withColumn("seeks", F.lit(False)).select(columns)
+    seekers = again.filter("open").withColumn("strip", strip).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).filter("chunk <> own")
+    seekers = seekers.withColumn("seeks", F.lit(True)).select(columns)
+
+    def far(batches):
+        for table in group_runs(batches, [key, "strip", "chunk"]):
+            starts = group_starts(group_numbers(table, [key, "strip", "chunk"])).tolist()
+            for low, high in zip(starts, starts[1:]):
+                part = table.slice(low, high - low)
+                is_open = part.column("open").to_numpy()
+                seeks = part.column("seeks").to_numpy()
+                forest = Forest(len(seeks))
+                settled = np.flatnonzero(~is_open)
+                if len(settled):  # connected by the pivot already
+                    forest.root[settled] = settled[0]
+                targets, linked = np.flatnonzero(~seeks), judge(part)
+                for i in np.flatnonzero(seeks).tolist():
+                    apart = targets[forest.root[targets] != forest.root[i]]
+                    i_, j_ = linked(np.full(len(apart), i), apart)
+                    unite(forest, j_, i_)
+                hung = np.flatnonzero(is_open & (forest.root != np.arange(len(seeks))))
+                node = part.column("node").combine_chunks()
+                yield record_batch({"a": node.take(pa.array(hung)), "b": node.take(pa.array(forest.root[hung]))}, link_out)
+
+    keys = [key, "strip", "chunk"]
+    met = others.unionByName(seekers).repartition(*keys).sortWithinPartitions(*keys, "open", "seeks", "node")
+    return links.unionByName(staged(met.mapInArrow(far, LINK), label))
 
 
 SIGNED = StructType([
@@ -239,27 +336,28 @@ SIGNED = StructType([
     StructField("signature", BinaryType()),
 ])
 LINK = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
-CHECKED = StructType([*LINK.fields, StructField("links", LongType())])
 SETS = StructType([StructField("node", BinaryType()), StructField("shingles", BinaryType())])
 
 
 def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, class_id, n_links.
+    """One row per row of ``docs``: id, class_id, copy_id, class_size.
 
     Two documents are linked if the Jaccard similarity of their word shingles is at least
-    ``threshold``. ``n_links`` counts the other documents linked to this one, ``class_id`` is
-    the smallest id that links lead to. 64-bit hashes stand for shingles.
+    ``threshold``. ``class_id`` is the smallest id that links lead to, ``copy_id`` the smallest
+    id with the same shingles, ``class_size`` the number of documents of the class. 64-bit
+    hashes stand for shingles.
 
     Documents with equal shingle sets are one node. Nodes that share a band of MinHash values
     meet in buckets, where Bayesian pruning leaves candidates. What candidates connect is a
-    cluster; its nodes get their shingle sets once, and all their unpruned pairs are checked
-    exactly. Large buckets and clusters are cut into blocks that meet pairwise, and only
-    connecting links and counts leave a task, never pairs. A pair at the threshold is
-    missed with a chance of about 5e-8 by all bands and 1e-8 by pruning, others less.
+    cluster; its nodes get their shingle sets once, and there unpruned pairs are checked
+    exactly until all that links connect is connected (``connect``). A pair whose ends are
+    connected already needs no check, so links inside a class are not counted. A pair at the
+    threshold is missed with a chance of about 5e-8 by all bands and 1e-8 by pruning, others
+    less.
 
     Null or empty texts, and texts without words, link to nothing: their class is their own
-    id. Rows with a null id have a null class and no links. Rows that repeat an id count as
+    id. Rows with a null id have a null class and size 1. Rows that repeat an id count as
     copies. An empty table gives no rows; other columns are not read.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -269,8 +367,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     id_type = docs.schema[id_col].dataType
     frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     signed_schema = StructType([StructField("id", id_type), *SIGNED.fields])
-    signed_out, link_out = to_arrow_schema(signed_schema), to_arrow_schema(LINK)
-    checked_out, sets_out = to_arrow_schema(CHECKED), to_arrow_schema(SETS)
+    signed_out, sets_out = to_arrow_schema(signed_schema), to_arrow_schema(SETS)
 
     def sign(batches):
         for batch in slices(batches):
@@ -298,33 +395,28 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     # 8 bytes stand for a node here; two nodes with one handle only meet in more buckets.
     nodes = nodes.withColumn("handle", F.xxhash64("node"))
     entries = nodes.select("handle", F.explode(bands).alias("bucket"))
-    full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    entries = staged(entries.join(full, "bucket"), "buckets")
-    members = measured_join(nodes.select("handle", "node", "signature"), entries, "handle")
-    members = in_blocks(members, "bucket", BUCKET_BLOCK)
-
-    def compare(batches):
-        for table in group_runs(batches, ["bucket", "low", "high"]):
-            group = group_numbers(table, ["bucket", "low", "high"])
-            values = signature_matrix(table.column("signature"))
-            side, cross = table.column("side").to_numpy(), table.column("low").to_numpy() != table.column("high").to_numpy()
-            links = candidate_links(values, group, side, cross, needed)
-            if links:
-                a, b = (pa.array(x) for x in zip(*links))
-                node = table.column("node").combine_chunks()
-                yield record_batch({"a": node.take(a), "b": node.take(b)}, link_out)
-
-    keys = ["bucket", "low", "high"]
-    candidates = (
-        members.repartition(*keys).sortWithinPartitions(*keys, "node")
-        .select(*keys, "side", "node", "signature").mapInArrow(compare, LINK)
-    )
+    full = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"), F.min("handle").alias("pivot"))
+    entries = staged(entries.join(full.filter("members > 1"), "bucket"), "buckets")
+
+    def unpruned(table):
+        values = signature_matrix(table.column("signature"))
+        return lambda i, j: prune(values, i, j, needed)
+
+    def bucket_rows(keys):
+        own = entries if keys is None else entries.join(keys, "bucket", "left_semi")
+        own = own.withColumn("pivot", F.col("handle") == F.col("pivot"))
+        return measured_join(nodes.select("handle", "node", "signature"), own, "handle")
+
+    candidates = connect(
+        bucket_rows, "bucket", BUCKET_BLOCK, ["signature"],
+        lambda table, group: candidate_forest(signature_matrix(table.column("signature")), group, needed),
+        unpruned, "candidates")
     clusters = staged(components(candidates), "clusters")
 
     # The shingle sets of the nodes of clusters, from one document of each.
-    wanted = staged(
-        measured_join(nodes, clusters, "node").select("node", "root", "least", "copies", "signature"),
-        "wanted")
+    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("members"), F.min("node").alias("pivot"))
+    known = nodes.select("node", "least", "signature")
+    wanted = staged(measured_join(known, clusters, "node").join(sizes, "root"), "wanted")
 
     def shingles(batches):
         for batch in slices(batches):
@@ -337,47 +429,37 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     ids = wanted.select(F.col("least").alias("id")).distinct()
     sets = measured_join(frame, ids, "id", wanted.count()).mapInArrow(shingles, SETS)
     sets = sets.dropDuplicates(["node"])
-    sizes = wanted.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    dealt = in_blocks(wanted.join(sizes, "root"), "root", CLUSTER_BLOCK).join(sets, "node")
-
-    def check(batches):
-        for table in group_runs(batches, ["root", "low", "high"]):
-            group = group_numbers(table, ["root", "low", "high"])
-            bounds = np.flatnonzero(np.diff(group, prepend=-1, append=group[-1] + 1))
-            a, b, counts = [], [], []
-            for first, last in zip(bounds.tolist(), bounds[1:].tolist()):
-                part = table.slice(first, last - first)
-                own = [np.frombuffer(s, np.uint64) for s in part.column("shingles").to_pylist()]
-                cross = part.column("low")[0] != part.column("high")[0]
-                linked, links = verified(
-                    own, signature_matrix(part.column("signature")), part.column("copies").to_numpy(),
-                    part.column("side").to_numpy(), cross, needed, exact)
-                node = part.column("node").to_pylist()
-                some = np.flatnonzero(linked).tolist()
-                a += [node[k] for k in some] + [node[x] for x, _ in links]
-                b += [None] * len(some) + [node[y] for _, y in links]
-                counts += linked[some].tolist() + [0] * len(links)
-            if a:
-                yield record_batch({"a": a, "b": b, "links": counts}, checked_out)
-
-    keys = ["root", "low", "high"]
-    checked = staged(
-        dealt.repartition(*keys).sortWithinPartitions(*keys, "node")
-        .select(*keys, "side", "node", "copies", "signature", "shingles").mapInArrow(check, CHECKED),
-        "checked")
-    links = checked.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    parts = components(checked.filter("b IS NOT NULL").select("a", "b"))
+
+    def cluster_rows(keys):
+        own = wanted if keys is None else wanted.join(keys, "root", "left_semi")
+        return own.withColumn("pivot", F.col("node") == F.col("pivot")).join(sets, "node")
+
+    def sets_of(table):
+        return [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+
+    def similar(table):
+        sets, going = sets_of(table), unpruned(table)
+        return lambda i, j: similar_pairs(sets, *going(i, j), exact)
+
+    links = connect(
+        cluster_rows, "root", CLUSTER_BLOCK, ["signature", "shingles"],
+        lambda table, group: verified_forest(
+            sets_of(table), signature_matrix(table.column("signature")), group, needed, exact),
+        similar, "checked")
+    parts = staged(components(links), "parts")
     facts = nodes.select("node", "least", "copies")
-    linked = parts.join(facts, "node").join(links, "node", "left")
-    classes = linked.groupBy("root").agg(F.min("least").alias("class_id"))
-    apart = facts.filter("copies > 1").join(parts, "node", "left_anti")
-    info = linked.join(classes, "root").select("node", "class_id", "copies", "links").unionByName(
-        apart.select("node", F.col("least").alias("class_id"), "copies", F.lit(0).cast("long").alias("links")))
+    linked = parts.join(facts, "node")
+    classes = linked.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
+    alone = facts.filter("copies > 1").join(parts, "node", "left_anti")
+    info = linked.join(classes, "root").select("node", "class_id", F.col("least").alias("copy_id"), "class_size")
+    info = info.unionByName(alone.select(
+        "node", F.col("least").alias("class_id"), F.col("least").alias("copy_id"), F.col("copies").alias("class_size")))
     rows = salted_left_join(
         signed.select("id", "size", "node"), staged(info, "classes"), ["node"], F.col("id"))
-    alone = F.col("id").isNull() | (F.col("size") == 0) | F.col("copies").isNull()
+    single = F.col("id").isNull() | (F.col("size") == 0) | F.col("class_id").isNull()
     return rows.select(
         F.col("id").alias(id_col),
-        F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(alone, F.lit(0)).otherwise(F.col("links") + F.col("copies") - 1).cast("long").alias("n_links"),
+        F.when(single, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.when(single, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
+        F.when(single, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
     )
