@@ -2,13 +2,16 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet
 and read again as the next stage's documents. All but the last keep the columns of their
-documents. Rows with a null text count as empty and stay until a stage rejects them; rows with
-a null id are never dropped by the duplicate stages. An empty table passes through all stages.
+documents. Rows with a null text count as empty and stay until a stage rejects them. A stage
+decides on rows, not on ids: of rows that repeat an id, only those whose own text is rejected
+go. Of rows equal in id and text one stays; a null id is smaller than any other. An empty table
+passes through all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vistaflow.llm import bpe, decontamination, exact_dedup, jaccard_join, toxicity
 from vistaflow.llm import queries as llm
@@ -18,10 +21,19 @@ from vistaflow.session import staged
 ORACLE_SQL = None  # a learned classifier and MinHash are not expressible in SQL
 
 
-def without(docs: DataFrame, dropped: DataFrame, label: str) -> DataFrame:
-    """Documents whose id is not among the dropped ones, which are stored and counted first."""
-    ids = staged(dropped.select("doc_id").filter("doc_id IS NOT NULL").distinct(), label)
-    return measured_join(docs, ids, "doc_id", how="left_anti").select(*docs.columns)
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """Documents with a key of the id and a digest of the text, which tells rows of one id apart."""
+    name = "_key"
+    while name in docs.columns:
+        name = f"_{name}"
+    digest = F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+    return docs.withColumn(name, F.struct("doc_id", digest.alias("digest"))), name
+
+
+def without(docs: DataFrame, key: str, dropped: DataFrame, label: str) -> DataFrame:
+    """Documents whose key is not among the dropped ones, which are stored and counted first."""
+    keys = staged(dropped.select(key).distinct(), label)
+    return measured_join(docs, keys, key, how="left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,23 +44,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest id."""
-    groups = exact_dedup.exact_duplicates(docs, keep="largest")
-    return without(docs, groups.filter("NOT kept"), "copies")
+    """Of documents with equal texts, the one with the largest id; of equal rows, one."""
+    rows, key = keyed(docs)
+    groups = exact_dedup.exact_duplicates(rows, id_col=key, keep="largest")
+    groups = staged(groups.filter("group_size > 1").select(key, "kept"), "groups")
+    rows = without(rows, key, groups.filter("NOT kept"), "copies")
+    repeated = groups.filter("kept").groupBy(key).count().filter("count > 1").select(key)
+    repeated = staged(repeated, "repeated")
+    if not repeated.isEmpty():
+        once = measured_join(rows, repeated, key, how="left_semi").dropDuplicates([key])
+        rows = measured_join(rows, repeated, key, how="left_anti").unionByName(once)
+    return rows.select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of similar documents, the one with the smallest id."""
     llm.ship_code(spark)
-    classes = jaccard_join.similar_documents(docs)
-    return without(docs, classes.filter("class_id <> doc_id"), "near")
+    rows, key = keyed(docs)
+    classes = jaccard_join.similar_documents(rows, id_col=key)
+    return without(rows, key, classes.filter(F.col("class_id") != F.col(key)), "near").select(*docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     llm.ship_code(spark)
-    found = decontamination.contamination(docs, llm.table(spark, sf_dir, "benchmark"))
-    return without(docs, found.filter("contaminated"), "contaminated")
+    rows, key = keyed(docs)
+    found = decontamination.contamination(rows, llm.table(spark, sf_dir, "benchmark"), id_col=key)
+    return without(rows, key, found.filter("contaminated"), "contaminated").select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The pipeline on a small folder, stage by stage against what it must keep."""
 
+import random
 import sys
 from pathlib import Path
 
@@ -9,8 +10,6 @@ import corpus_pipeline  # noqa: E402
 
 
 def test_stages(spark, tmp_path):
-    import random
-
     random.seed(17)
     words = [f"w{i}" for i in range(500)]
 
@@ -42,3 +41,28 @@ def test_stages(spark, tmp_path):
     empty = frame.filter("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_repeated_ids(spark, tmp_path):
+    """Rows of one id with different texts are judged one by one; of equal rows one stays."""
+    random.seed(23)
+    clean, leaked, other = (" ".join(f"{random.choice('abcdef')}{random.randrange(900)}" for _ in range(40)) for _ in range(3))
+    near = clean + " tail"
+    rows = [(1, clean), (1, leaked), (2, leaked), (3, clean), (3, clean), (1, other), (1, other), (None, other),
+            (None, "alone text here"), (None, "alone text here"), (4, near), (5, None), (6, "")]
+    schema = "doc_id long, text string, _key int, keep_id int"
+    docs = spark.createDataFrame([(i, t, 5, 6) for i, t in rows], schema)
+    spark.createDataFrame([(1, leaked)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def kept(stage, frame):
+        out = stage(spark, frame, str(tmp_path))
+        assert out.columns == frame.columns
+        return sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+
+    once = sorted([(2, leaked), (3, clean), (1, other), (None, "alone text here"), (4, near), (6, "")], key=repr)
+    assert kept(corpus_pipeline.drop_exact_copies, docs) == once
+    unique = spark.createDataFrame([(1, t, 5, 6) if t in (leaked, clean) else (i, t, 5, 6) for i, t in once], schema)
+    assert kept(corpus_pipeline.drop_near_copies, unique) == sorted(
+        [(1, leaked), (1, clean), (1, other), (None, "alone text here"), (6, "")], key=repr)
+    assert kept(corpus_pipeline.drop_benchmark_passages, unique) == sorted(
+        [(1, clean), (1, other), (None, "alone text here"), (4, near), (6, "")], key=repr)
