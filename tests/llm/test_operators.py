@@ -59,6 +59,12 @@ def test_exact_duplicates(docs, nothing):
         exact_dedup.exact_duplicates(docs, keep="any")
 
 
+def test_exact_duplicates_by_a_shuffle(docs, monkeypatch):
+    want = rows(exact_dedup.exact_duplicates(docs))
+    monkeypatch.setattr(exact_dedup.measured_join, "__defaults__", (None, 0, "inner"))
+    assert rows(exact_dedup.exact_duplicates(docs)) == want
+
+
 def tokens():
     return bpe.read_ranks(content(RANK_FILE))
 

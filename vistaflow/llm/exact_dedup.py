@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vistaflow.llm.spread import salted_left_join
+from vistaflow.llm.spread import measured_join, salted_left_join
+from vistaflow.session import staged
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      keep: str = "smallest") -> DataFrame:
     """One row per row of ``docs``: id, keep_id, group_size, kept, text_sha256.
 
-    Rows are grouped by the MD5 of the text and by the text itself, so two texts with one
-    MD5 are never one group: the hash leads, the bytes decide. Each map task first combines
-    its equal rows, so a text that makes up a third of the table sends one row per task. Only
-    groups of two or more rows are joined back, by MD5 and SHA-256 and without texts; the
-    rows of one group are spread over several tasks.
+    The MD5 of each text is counted first. Only texts whose MD5 occurs twice go on; they are
+    grouped by it and by the text itself, so two texts with one MD5 are never one group: the
+    hash leads, the bytes decide. Each map task first combines its equal rows, so a text that
+    makes up a third of the table sends one row per task. Groups are joined back by MD5 and
+    SHA-256 and without texts; the rows of one group are spread over several tasks.
 
     ``keep`` names the id that stays: ``smallest`` or ``largest``. Null texts count as empty.
     Ids may be null: they never stay where another id exists, and a group of null ids keeps
@@ -31,8 +32,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "_id", "_text", F.unhex(F.md5("_text")).alias("_md5"),
         F.sha2("_text", 256).alias("text_sha256"),
     )
+    hashes = rows.groupBy("_md5").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select("_md5")
+    copies = measured_join(rows, staged(hashes, "hashes"), "_md5", how="left_semi")
     groups = (
-        rows.groupBy("_md5", "_text")
+        copies.groupBy("_md5", "_text")
         .agg(pick("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
         .filter("_size > 1")
         .select("_md5", F.sha2("_text", 256).alias("text_sha256"), "_keep", "_size")
