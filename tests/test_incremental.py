@@ -11,7 +11,7 @@ from vistaflow.functions.render import RESOLUTIONS, rendered
 from vistaflow.model import DocumentOptions, ViewDef
 from vistaflow.operators.upsert import diff, upsert
 from vistaflow.plans.documents import build_documents
-from vistaflow.plans.index import DocumentIndex
+from vistaflow.plans.index import DocumentIndex, find_document
 from vistaflow.plans.run import RunSettings, run_index, run_preview
 from vistaflow.plans.state import SyncState, ViewState
 from vistaflow.plans.users import Directory, expand_readers, reader_table, user_table
@@ -225,7 +225,7 @@ def test_unsaved_run_is_invisible_and_repeated(spark, job):
 
 
 def test_unwritten_documents_fail_the_run(spark, job, monkeypatch):
-    def full(*_):
+    def full(*_, **__):
         raise OSError("no space")
 
     monkeypatch.setattr(job.index, "write_batch", full)
@@ -278,7 +278,7 @@ def test_views_that_share_a_type_give_one_document_per_id(spark, job):
     second = ViewDef("v_B", "same", "CompanyID", title_columns=("Name",), watermark_column="Modified")
 
     def found():
-        docs = job.index.documents(job.state.load(), [first, second])
+        docs = job.index.documents(job.state.load())
         return sorted((r["id"], r["title"]) for r in docs.collect())
 
     a, b = frame(spark, (1, "a", at(1)), (2, "a", at(1))), frame(spark, (2, "b", at(1)), (3, "b", at(1)))
@@ -370,14 +370,14 @@ def test_a_view_without_watermark_writes_only_changes(spark, tmp_path):
     assert (again.results[0].records, again.results[0].documents, again.results[0].written) == (3, 3, 0)
     assert state.load()["v_Plain"].last_batch == 0
     more, state, index = run_plain(spark, tmp_path, [(1, "x"), (2, "b"), (4, "d")])
-    assert more.results[0].written == 2
+    assert more.results[0].written == 3  # one new, one changed, one gone
     docs = index.documents(state.load())
     assert sorted((r["id"], r["title"]) for r in docs.select("id", "title").collect()) == [
-        ("plain:1", "x"), ("plain:2", "b"), ("plain:3", "plain:3"), ("plain:4", "d"),
+        ("plain:1", "x"), ("plain:2", "b"), ("plain:4", "d"),
     ]
     empty, state, index = run_plain(spark, tmp_path, [])
     assert empty.ok and (empty.results[0].records, empty.results[0].documents) == (0, 0)
-    assert index.documents(state.load()).count() == 4
+    assert index.documents(state.load()).count() == 3  # no view gave anything
 
 
 def test_copies_of_keyless_rows_are_not_written_twice(spark, tmp_path):
@@ -442,3 +442,131 @@ def test_an_unreadable_directory_opens_nothing(spark, tmp_path):
     report, state, index = run_plain(spark, tmp_path, [(1, "a")], settings, who)
     assert not report.ok and "no directory" in report.user_error
     assert index.documents(state.load()).first()["permissions"] is None
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_late_rows_within_the_overlap_come_in(spark, job):
+    view = replace(VIEW, overlap="2 days")
+    job.run([(view, frame(spark, (1, "a", at(10))))])
+    rows = frame(spark, (1, "a", at(10)), (2, "late", at(9)), (3, "too late", at(7)))
+    second = job.run([(view, rows)]).results[0]
+    assert (second.mode, second.records, second.documents, second.written) == ("incremental", 2, 2, 1)
+    assert job.found() == [("company:1", "a"), ("company:2", "late")]
+    third = job.run([(view, rows)]).results[0]
+    assert (third.records, third.written) == (2, 0)
+    # Without its newest row a source does not move the watermark back.
+    fourth = job.run([(view, frame(spark, (2, "late", at(9))))]).results[0]
+    assert fourth.watermark == job.state.load()["v_Company"].watermark == "2026-05-10 09:00:00"
+    assert job.found() == [("company:1", "a"), ("company:2", "late")]
+
+
+def test_a_late_old_version_does_not_replace_the_newest(spark, job):
+    view = replace(VIEW, overlap="2 days")
+    job.run([(view, frame(spark, (1, "new", at(10))))])
+    job.run([(view, frame(spark, (1, "new", at(10)), (1, "old", at(9))))])
+    assert job.found() == [("company:1", "new")]
+
+
+def test_capped_runs_with_an_overlap_get_on(spark, job):
+    view = replace(VIEW, overlap="30 days")
+    rows = frame(spark, *((i, f"n{i}", at(i)) for i in range(1, 13)))
+    for _ in range(5):
+        job.run([(view, rows)], RunSettings(row_limit=3))
+    assert len(job.found()) == 12
+
+
+@pytest.mark.parametrize("kind, since, overlap, start", [
+    ("int", "100", "7", "93"), ("bigint", "100", "7", "93"), ("double", "1.5", "0.5", "1.0"), ("date", "2026-05-10", "3 days", "2026-05-07"),
+    ("timestamp", "2026-05-10 09:00:00", "1 hour", "2026-05-10 08:00:00"), ("timestamp_ntz", "2026-05-10 09:00:00", "1 month", "2026-04-10 09:00:00"),
+])
+def test_the_overlap_is_pushed_down(spark, tmp_path, kind, since, overlap, start):
+    view = replace(VIEW, watermark_column="m", overlap=overlap)
+    spark.sql(f"SELECT CAST('{start}' AS {kind}) m, 'at' n UNION ALL SELECT CAST('{since}' AS {kind}), 'since'").write.parquet(f"{tmp_path}/m")
+    stored = spark.read.parquet(f"{tmp_path}/m")
+    rows = scan(stored, view, since=since)
+    assert [r["n"] for r in rows.collect()] == ["since"]
+    assert "GreaterThan(m," in physical(rows)
+
+
+def test_an_overlap_that_is_no_interval_is_an_error(spark):
+    with pytest.raises(Exception, match="no interval|INTERVAL"):
+        scan(frame(spark, (1, "a", at(1))), replace(VIEW, overlap="some"), since="2026-05-10 09:00:00").collect()
+
+
+def test_rows_gone_at_the_source_are_removed(spark, job):
+    view = replace(VIEW, watermark_column=None)
+    job.run([(view, frame(spark, (1, "a", at(1)), (2, "b", at(1)), (3, "c", at(1))))])
+    second = job.run([(view, frame(spark, (1, "a", at(1)), (3, "C", at(1))))]).results[0]
+    assert (second.documents, second.written) == (2, 2)
+    assert job.found() == [("company:1", "a"), ("company:3", "C")]
+    job.run([(view, frame(spark, (1, "a", at(1)), (2, "again", at(1)), (3, "C", at(1))))])
+    assert job.found() == [("company:1", "a"), ("company:2", "again"), ("company:3", "C")]
+
+
+def test_capped_or_failed_readings_remove_nothing(spark, job):
+    view = replace(VIEW, watermark_column=None)
+    rows = frame(spark, (1, "a", at(1)), (2, "b", at(1)))
+    job.run([(view, rows)])
+    job.run([(view, rows)], RunSettings(row_limit=1))
+    broken = rows.withColumn("Name", F.raise_error(F.lit("gone")))
+    job.run([(view, broken)])
+    assert job.found() == [("company:1", "a"), ("company:2", "b")]
+
+
+def test_an_empty_view_is_emptied_beside_others(spark, job):
+    """As with a full refresh, nothing is removed if no view gives any document."""
+    first = replace(VIEW, watermark_column=None)
+    other = replace(first, view_name="v_Other", object_type="other")
+    rows, none = frame(spark, (1, "a", at(1))), frame(spark, (1, "a", at(1))).where("CompanyID > 1")
+    job.run([(first, rows), (other, rows)])
+    job.run([(first, none), (other, none)])
+    assert len(job.found()) == 2
+    job.run([(first, none), (other, rows)])
+    assert job.found() == [("other:1", "a")]
+
+
+def test_ids_of_builders_are_compared_across_views(spark, job):
+    def named(title):
+        return lambda df, **_: build_documents(df, VIEW).withColumn("id", F.lit("own")).withColumn("title", F.lit(title))
+
+    views = [ViewDef(f"v_{t}", t, "CompanyID", watermark_column="Modified", build=named(t)) for t in ("one", "two")]
+    job.run([(v, frame(spark, (1, "a", at(1)))) for v in views], RunSettings(options=DocumentOptions(run_epoch=5)))
+    assert job.found() == [("own", "two")]
+
+
+def test_changes_of_any_size_leave_a_bucketed_base_in_place(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("vistaflow.plans.index.within_rows", lambda *_: False)
+    index = DocumentIndex(spark, f"{tmp_path}/index", buckets=4)
+    rows = frame(spark, *((i, f"n{i}", at(1)) for i in range(200)))
+    docs = build_documents(rows, VIEW, DocumentOptions(run_epoch=1))
+    index.write_batch("v_Company", 0, docs, base=True)
+    index.write_batch("v_Company", 1, docs.where("id < 'company:150'").withColumn("title", F.lit("new")))
+    state = ViewState("v_Company", base_batch=0, last_batch=1, base_buckets=4)
+    merged = index.view_documents(state)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = physical(index.view_documents(state))
+        # The base is scanned by bucket right under the join; only changes are exchanged.
+        base = plan[: plan.index("Bucketed: true")]
+        assert "Exchange" not in base[base.rindex("SortMergeJoin"):]
+        assert "SelectedBucketsCount: 4 out of 4" in plan
+        one = physical(find_document(merged, "company", "company:7"))
+        assert "SelectedBucketsCount: 1 out of 4" in one
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {r["id"]: r["title"] for r in merged.collect()}
+    assert len(got) == 200 and sum(t == "new" for t in got.values()) == sum(i < "company:150" for i in got)
+    folded = index.compact(state)
+    assert folded.base_buckets == 4 and index.view_documents(folded).count() == 200
+    index.write_batch("v_Company", folded.base_batch, docs, base=True)  # a repeated base replaces itself
+    assert index.view_documents(folded).where("title = 'new'").count() == 0
+
+
+def test_states_of_earlier_versions_are_read(spark, tmp_path):
+    state = SyncState(spark, f"{tmp_path}/state")
+    state.table.replace(spark.createDataFrame([("v", "w", 1, "now", 0, 2)],
+                        "view string, watermark string, count long, last_run string, base_batch long, last_batch long"))
+    assert state.load() == {"v": ViewState("v", "w", 1, "now", 0, 2)}

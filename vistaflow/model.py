@@ -63,6 +63,8 @@ class ViewDef:
 
     ``id_columns`` (composite key) beats ``id_column``. ``order_columns`` give the rows a
     total order: it decides which duplicate is the last one and what position a row has.
+    ``overlap`` reads rows again that lie at most so far behind the saved watermark, so that late
+    ones come in: an interval ('7 days') for dates and times, a number for other columns.
     ``complete_keys`` states that every row has a key: a row without one is then an error
     and reading ids alone touches the key columns alone. ``build`` replaces the generic
     row-to-document mapping: it is called as ``build(df, datasource=..., acl_id=...)``, gives
@@ -78,6 +80,7 @@ class ViewDef:
     watermark_column: str | None = None
     order_columns: tuple[str, ...] = ()
     complete_keys: bool = False
+    overlap: str | None = None
     schema: str | None = None
     enabled: bool = True
     build: Callable[..., DataFrame] | None = field(default=None, compare=False)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vistaflow.operators.lookup import lookup, within_rows
+
 
 def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -25,6 +27,22 @@ def last_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return pick_one(df, [key], [F.desc_nulls_last(c) for c in order])
 
 
+def last_of_copies(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """As :func:`last_wins` for stored rows, which can be read more than once.
+
+    Keys alone are counted first. Rows whose key is unique are never sorted or shuffled; only
+    those of the other keys are compared, by an aggregate that starts before its shuffle.
+    """
+    keys = duplicate_keys(df.select(key), key).select(key)
+    several = within_rows(keys)
+    if several and keys.isEmpty():
+        return df
+    copies = lookup(df, keys, [key], "left_semi", small=several)
+    best = copies.groupBy(key).agg(F.max_by(F.struct("*"), F.struct(*order)).alias("_row"))
+    rest = lookup(df, keys, [key], "left_anti", small=several)
+    return rest.unionByName(best.select("_row.*"))
+
+
 def first_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return pick_one(df, [key], [F.asc_nulls_first(c) for c in order])
 

@@ -24,7 +24,7 @@ from vistaflow.plans.state import SyncState, ViewState
 from vistaflow.plans.users import Directory
 from vistaflow.session import staging
 from vistaflow.sources.catalog import ViewCatalog
-from vistaflow.sources.scan import scan, watermark_text
+from vistaflow.sources.scan import scan, watermark_literal, watermark_text
 
 REPORT_SCHEMA = T.StructType(
     [
@@ -56,7 +56,7 @@ EVENT_SCHEMA = T.StructType(
 class ViewResult:
     """Outcome of one view; ``records - documents`` is the number of dropped duplicates.
 
-    ``written`` counts the documents that were new or changed and so went to the index.
+    ``written`` counts the documents that were new, changed or gone and so went to the index.
     ``error_type`` tells a view that cannot be read or shaped (view_fetch) from an index
     that cannot be written (document_indexing).
     """
@@ -131,15 +131,23 @@ class RunReport:
         return spark.createDataFrame(rows, EVENT_SCHEMA)
 
 
-def observed_rows(df: DataFrame, view: ViewDef) -> tuple[DataFrame, Observation]:
+def observed_rows(
+    df: DataFrame, view: ViewDef, since: str | None = None
+) -> tuple[DataFrame, Observation]:
     """The rows with their count and newest watermark taken in the pass that writes them."""
     observation = Observation()
-    return df.observe(observation, *_metrics(df, view)), observation
+    return df.observe(observation, *_metrics(df, view, since)), observation
 
 
-def _metrics(df: DataFrame, view: ViewDef) -> list[Column]:
+def _metrics(df: DataFrame, view: ViewDef, since: str | None = None) -> list[Column]:
+    """Count and newest watermark; where rows are read again it never falls behind ``since``."""
     wm = view.watermark_column
-    newest = watermark_text(wm) if wm and wm in df.columns else F.max(F.lit(None).cast("string"))
+    if not wm or wm not in df.columns:
+        newest = F.max(F.lit(None).cast("string"))
+    elif since is not None and view.overlap is not None:
+        newest = F.greatest(F.max(wm), watermark_literal(df, wm, since)).cast("string")
+    else:
+        newest = watermark_text(wm)
     return [F.count("*").alias("records"), newest.alias("watermark")]
 
 
@@ -171,7 +179,7 @@ def view_documents(
     )
     # An incremental run adds to earlier documents, so its names must not depend on rank.
     rows, row_name = name_rows(rows, view, positions=positions)
-    rows, observation = observed_rows(rows, view)
+    rows, observation = observed_rows(rows, view, since)
     docs = build_documents(
         rows,
         view,
@@ -185,9 +193,9 @@ def view_documents(
     return docs, observation
 
 
-def _counts(rows: DataFrame, view: ViewDef) -> dict:
+def _counts(rows: DataFrame, view: ViewDef, since: str | None = None) -> dict:
     """Row count and newest watermark in a pass of their own, over the watermark only."""
-    return rows.agg(*_metrics(rows, view)).first().asDict()
+    return rows.agg(*_metrics(rows, view, since)).first().asDict()
 
 
 def _each_view(
@@ -217,8 +225,9 @@ def run_index(
     ``directory`` gives users and superusers: the reader list ``settings.acl_id`` and the user
     list are written before documents, which name the list unless it is empty.
 
-    A view that is read as a whole though it has documents already (it has no watermark)
-    writes only those that are new or have changed. Batches that neither the state nor
+    A view that is read as a whole though it has documents already (it has no watermark), or
+    again in part (it has an overlap), writes only those that are new or have changed, and the ids of those that a whole reading
+    no longer gives. Batches that neither the state nor
     the one before names are removed, so a reader of the previous state can still finish.
     """
     settings = _timed(settings, now())
@@ -243,7 +252,8 @@ def run_index(
         old = known[name]
         since = old.watermark if use_saved else None
         mode = "incremental" if since else "full"
-        diffs = use_saved and since is None and old.last_batch >= old.base_batch
+        again = since is None or view.overlap is not None
+        diffs = use_saved and again and old.last_batch >= old.base_batch
         docs = None
         with staging(index.spark):
             try:
@@ -251,8 +261,9 @@ def run_index(
                     catalog.frame(name), view, since, settings, positions=not use_saved
                 )
                 if diffs:
-                    return _write_changes(catalog, index, view, old, settings, docs, seen)
-                written = index.write_batch(name, old.last_batch + 1, docs)
+                    return _write_changes(catalog, index, view, old, settings, docs, seen, since)
+                first = settings.full_refresh or old.last_batch < old.base_batch
+                written = index.write_batch(name, old.last_batch + 1, docs, base=first)
                 metrics = read_metrics(view, seen, written)
                 found, newest = metrics["records"], metrics["watermark"]
                 return ViewResult(name, mode, since, True, found, written, written, newest)
@@ -265,7 +276,8 @@ def run_index(
     moved = use_saved and any(r.ok and r.records and r.watermark for r in results)
     if moved or any(r.documents for r in results):
         users_ok = user_error is None
-        views = _next_state(saved, known, results, settings, now().isoformat(), users_ok)
+        stamp = now().isoformat()
+        views = _next_state(saved, known, results, settings, stamp, users_ok, index.buckets)
         for name, new in views.items():
             if new.last_batch - new.base_batch > settings.compact_after:
                 views[name] = index.compact(new)
@@ -283,20 +295,27 @@ def _write_changes(
     settings: RunSettings,
     docs: DataFrame,
     seen: Observation,
+    since: str | None,
 ) -> ViewResult:
-    """Write what differs from the index; the rest of a view that was read as a whole stays."""
-    name = view.view_name
+    """Write what differs from the index; the rest of what was read again stays.
+
+    Of a view that was read as a whole and without a cap, documents that no row gives any
+    more are removed.
+    """
+    name, mode = view.view_name, "incremental" if since else "full"
     counted = Observation()
     docs = docs.observe(counted, F.count("*").alias("documents"))
-    written = index.write_batch(name, old.last_batch + 1, index.changed_documents(old, docs))
-    rows = scan(catalog.frame(name), view, row_limit=settings.row_limit)
-    if written == 0 and (view.build is not None or rows.isEmpty()):
+    whole = since is None and not settings.row_limit
+    changed = index.changed_documents(old, docs, deletes=whole)
+    written = index.write_batch(name, old.last_batch + 1, changed)
+    rows = scan(catalog.frame(name), view, since=since, row_limit=settings.row_limit)
+    if (written == 0 and view.build is not None) or rows.isEmpty():
         # Spark may have folded documents that are none to nothing and observed nothing.
-        metrics, documents = _counts(rows, view), docs.count()
+        metrics, documents = _counts(rows, view, since), docs.count()
     else:
         metrics, documents = seen.get, counted.get["documents"]
     found, newest = metrics["records"], metrics["watermark"]
-    return ViewResult(name, "full", None, True, found, documents, written, newest)
+    return ViewResult(name, mode, since, True, found, documents, written, newest)
 
 
 def _timed(settings: RunSettings, start: datetime) -> RunSettings:
@@ -334,17 +353,20 @@ def _next_state(
     settings: RunSettings,
     stamp: str,
     users_ok: bool,
+    buckets: int,
 ) -> dict[str, ViewState]:
     views = dict(saved)
-    for r in results:
-        if not r.ok or not (r.documents or r.records or settings.full_refresh):
+    for place, r in enumerate(results):
+        if not r.ok or not (r.documents or r.records or r.written or settings.full_refresh):
             continue  # failed, or nothing new: the old entry stays
         old = new = known[r.view]
         if r.written or settings.full_refresh:
             batch = old.last_batch + 1
             empty = old.last_batch < old.base_batch
-            base = batch if settings.full_refresh or empty else old.base_batch
-            new = replace(old, base_batch=base, last_batch=batch)
+            new = replace(old, last_batch=batch)
+            if settings.full_refresh or empty:
+                new = replace(new, base_batch=batch, base_buckets=buckets)
+        new = replace(new, place=place)
         if settings.incremental and users_ok and r.watermark is not None:
             new = replace(new, watermark=r.watermark, count=r.records, last_run=stamp)
         views[r.view] = new

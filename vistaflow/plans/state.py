@@ -17,6 +17,8 @@ STATE_SCHEMA = T.StructType(
         T.StructField("last_run", T.StringType()),
         T.StructField("base_batch", T.LongType()),
         T.StructField("last_batch", T.LongType()),
+        T.StructField("base_buckets", T.LongType()),
+        T.StructField("place", T.LongType()),
     ]
 )
 
@@ -25,7 +27,9 @@ STATE_SCHEMA = T.StructType(
 class ViewState:
     """What is known about one view after its last good run.
 
-    Index batches from ``base_batch`` to ``last_batch`` hold the view's documents.
+    Index batches from ``base_batch`` to ``last_batch`` hold the view's documents; the first of
+    them lies in ``base_buckets`` buckets by id (0: in none). ``place`` is the view's place in
+    the catalog.
     """
 
     view: str
@@ -34,6 +38,8 @@ class ViewState:
     last_run: str | None = None
     base_batch: int = 0
     last_batch: int = -1
+    base_buckets: int = 0
+    place: int = 0
 
 
 class SyncState:
@@ -46,7 +52,8 @@ class SyncState:
     def load(self) -> dict[str, ViewState]:
         """Saved state by view; empty if nothing was saved or it cannot be read."""
         rows = self.table.read().where("view IS NOT NULL").collect()
-        return {r["view"]: ViewState(**r.asDict()) for r in rows}
+        found = [{k: v for k, v in r.asDict().items() if v is not None} for r in rows]
+        return {r["view"]: ViewState(**r) for r in found}
 
     def save(self, views: dict[str, ViewState]) -> None:
         self.table.replace(state_frame(self.spark, views).coalesce(1))

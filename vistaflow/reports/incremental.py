@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaflow.model import DocumentOptions, ViewDef
+from vistaflow.operators.upsert import diff
 from vistaflow.plans.index import DocumentIndex
 from vistaflow.plans.run import RunSettings, run_index
 from vistaflow.plans.state import SyncState, merge_state, state_frame
@@ -91,7 +94,7 @@ def sync_state_table(spark, folder):
     job = Job(spark, folder)
     names = ("v_Lineitem_Order", "v_Event", "v_Customer")
     job.run({n: job.views.frame(n) for n in names})
-    return state_frame(spark, job.state.load()).drop("last_run")
+    return state_frame(spark, job.state.load()).drop("last_run", "base_buckets", "place")
 
 
 @report(
@@ -202,6 +205,94 @@ def incremental_late_rows(spark, folder):
     return job.documents().select("id")
 
 
+OVERLAP = "60 days"
+# The newest order of the first of two runs, in which orders of one status are late.
+FIRST_RUN = f"o_orderdate <= '{CUT}' AND o_orderstatus <> 'P'"
+SAVED = f"(SELECT max(o_orderdate) FROM {ORDER_CUSTOMER} WHERE {FIRST_RUN})"
+
+
+def _overlapping_runs(spark: SparkSession, folder: str):
+    """Two runs of a view with an overlap, the first without its late rows, and a third one."""
+    job = Job(spark, folder)
+    view = replace(job.views.definition("v_Order_Customer"), overlap=OVERLAP)
+    orders = job.views.frame("v_Order_Customer")
+    return job, [job.run({view: rows}) for rows in (orders.where(FIRST_RUN), orders, orders)]
+
+
+@report(
+    "incremental_overlap",
+    f"""
+    SELECT 'orderCustomer:' || o_orderkey AS id FROM {ORDER_CUSTOMER}
+    WHERE ({FIRST_RUN}) OR o_orderdate > {SAVED} - INTERVAL {OVERLAP}
+    """,
+)
+def incremental_overlap(spark, folder):
+    """Late rows within the overlap come in, those before it do not."""
+    job, _ = _overlapping_runs(spark, folder)
+    return job.documents().select("id")
+
+
+@report(
+    "incremental_overlap_report",
+    f"""
+    SELECT 2 AS run, 'incremental' AS mode, count(*) AS records,
+           count(*) FILTER (WHERE NOT ({FIRST_RUN})) AS written,
+           (SELECT CAST(max(o_orderdate) AS VARCHAR) FROM {ORDER_CUSTOMER}) AS watermark
+    FROM {ORDER_CUSTOMER} WHERE o_orderdate > {SAVED} - INTERVAL {OVERLAP}
+    UNION ALL
+    SELECT 3, 'incremental', count(*), 0, CAST(max(o_orderdate) AS VARCHAR) FROM {ORDER_CUSTOMER}
+    WHERE o_orderdate > (SELECT max(o_orderdate) FROM {ORDER_CUSTOMER}) - INTERVAL {OVERLAP}
+    """,
+)
+def incremental_overlap_report(spark, folder):
+    """What is read again and unchanged is not written again."""
+    _, reports = _overlapping_runs(spark, folder)
+    out = None
+    for number, seen in enumerate(reports[1:], start=2):
+        seen = seen.frame(spark).select(F.lit(number).alias("run"), "mode", "records", "written", "watermark")
+        out = seen if out is None else out.unionByName(seen)
+    return out
+
+
+@report(
+    "index_deletes",
+    f"""
+    SELECT 'documentLabel:' || doc_id AS id,
+           CASE WHEN quality = 0 THEN 'deleted' WHEN quality = 1 THEN 'updated'
+                ELSE 'unchanged' END AS status
+    FROM {DOCUMENT_LABEL}
+    """,
+)
+def index_deletes(spark, folder):
+    """A view read as a whole loses rows at its source and changes others: the index follows."""
+    job = Job(spark, folder)
+    rows = job.views.frame("v_Document_Label")
+    job.run({"v_Document_Label": rows})
+    before = job.documents()
+    changed = F.when(F.col("quality") == 1, F.lit("changed")).otherwise(F.col("source"))
+    job.run({"v_Document_Label": rows.where("quality IS NULL OR quality <> 0").withColumn("source", changed)})
+    return diff(before, job.documents())
+
+
+@report(
+    "index_bucketed",
+    f"""
+    SELECT 'orderCustomer:' || o_orderkey AS id, o_orderstatus AS status FROM {ORDER_CUSTOMER}
+    """,
+)
+def index_bucketed(spark, folder):
+    """A base in buckets and two runs of changes on top of it, merged."""
+    job = Job(spark, folder)
+    job.index.buckets = 8
+    orders = job.views.frame("v_Order_Customer")
+    early = orders.where(f"o_orderdate <= '{CUT}'").withColumn("o_orderstatus", F.lit("?"))
+    view = replace(job.views.definition("v_Order_Customer"), watermark_column=None)
+    later = orders.withColumn("o_orderstatus", F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")))
+    for rows in (early, later, orders):
+        job.run({view: rows})
+    return job.documents().select("id", F.get_json_object("body", "$.o_orderstatus").alias("status"))
+
+
 @report(
     "index_replace",
     f"""
