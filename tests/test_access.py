@@ -160,3 +160,20 @@ def test_group_policy(spark, users):
     assert seen(" A@acme.example") == ["1", "2"]
     assert seen("b@acme.example") == ["2"]
     assert seen("nobody@acme.example") == []
+
+
+def test_policies_as_a_table_give_what_lists_give(spark):
+    """Thousands of groups, users without any, and types that nobody may read."""
+    people = [(f"u{i}@x.org", [f"g{k}" for k in range(i, 3000, 97)] or None) for i in range(40)]
+    people += [("none@x.org", []), ("null@x.org", None)]
+    frame = spark.createDataFrame(people, "email string, groups array<string>")
+    allowed = {f"t{k}": [f"g{n}" for n in range(k, 3000, 53 + k)] for k in range(6)} | {"closed": []}
+    policy = spark.createDataFrame(
+        [(t, g) for t, names in allowed.items() for g in [*names, *names[:1]]], "object_type string, `group` string")
+    got = sorted(tuple(r) for r in A.permitted_kinds(frame, policy).collect())
+    lists = A.kinds_by_user(frame, allowed).where("allowed").select("email", "object_type")
+    assert got == sorted(tuple(r) for r in lists.collect()) and got
+    docs = spark.createDataFrame([(f"t{k}", f"t{k}:1") for k in range(6)] + [("closed", "c"), ("new", "n")], "object_type string, id string")
+    for email in ("U3@x.org ", "none@x.org", "stranger@x.org"):
+        by_table = sorted(r["id"] for r in A.permitted_documents(docs, frame, email, policy).collect())
+        assert by_table == sorted(r["id"] for r in A.documents_for_user(docs, frame, email, allowed).collect())

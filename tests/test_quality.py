@@ -80,6 +80,16 @@ def test_cross_references_equal_brute_force(spark):
         if re.search(rf"\b{re.escape(n)}\b", t or "", re.I)
     }
     assert got == want
+    phrases = ["my db", "image, the", "select * from image", "JOIN crm ON 1", "the the", "db.", "Straße straße x", "x", "the the the the"]
+    more = spark.createDataFrame([(n,) for n in [*names, *phrases, "my db"]], "n string")
+    found = [tuple(r) for r in Q.cross_references(df, "id", "body", more).collect()]
+    every = {
+        (i, n) for i, t in texts.items() for n in [*names, *phrases]
+        if re.search(rf"\b{re.escape(n)}\b", t or "", re.I)
+    }
+    assert set(found) == every and len(found) == len(every) and (2, "image, the") not in every
+    plan = Q.cross_references(df, "id", "body", given.where("n <> 'x'"))._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("LogicalRDD") == 1  # texts are read once
     single = given.where("n NOT LIKE '%-%' AND n NOT LIKE '%+%' AND n NOT LIKE '%.%'")
     rows = [tuple(r) for r in Q.cross_references(df, "id", "body", single).collect()]
     assert set(rows) == {w for w in want if re.fullmatch(r"\w+", w[1])} and len(rows) == len(set(rows))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vistaflow.functions.identity import display_name, normalized, user_id
 from vistaflow.functions.values import strip
 from vistaflow.operators.dedupe import first_wins
-from vistaflow.operators.lookup import lookup
+from vistaflow.operators.lookup import lookup, within_rows
 from vistaflow.session import staged
 
 
@@ -197,3 +197,25 @@ def documents_for_user(
     # At most one row per configured object type.
     kinds = kinds_by_user(user, allowed).where("allowed").select("object_type").distinct()
     return docs.where(F.col("object_type").isin([r["object_type"] for r in kinds.collect()]))
+
+
+def permitted_kinds(users: DataFrame, policy: DataFrame) -> DataFrame:
+    """(email, object_type) for every type that some group of the user may read.
+
+    ``policy`` is a table (object_type, group) of any size. Groups are rows here, so that a
+    user with many groups and a type with many readers are an equal join, not a comparison of
+    lists; a user without groups, or a type without rows, gives nothing.
+    """
+    held = users.select("email", F.explode("groups").alias("group")).distinct()
+    return lookup(held, policy.select("object_type", "group").distinct(), ["group"], "inner").select(
+        "email", "object_type"
+    ).distinct()
+
+
+def permitted_documents(
+    docs: DataFrame, users: DataFrame, email: str, policy: DataFrame
+) -> DataFrame:
+    """As :func:`documents_for_user`, with the policy as a table of groups."""
+    user = users.where(F.col("email") == email.strip().lower())
+    kinds = permitted_kinds(user, policy).select("object_type").distinct()
+    return lookup(docs, kinds, ["object_type"], "left_semi", small=within_rows(kinds))

@@ -13,7 +13,8 @@ from vistaflow.functions import documents as D
 from vistaflow.functions.names import database_part, missing_object_names
 from vistaflow.model import ViewDef
 from vistaflow.operators.dedupe import duplicate_keys
-from vistaflow.operators.lookup import lookup, within_rows
+from vistaflow.operators.lookup import BROADCAST_ROWS, lookup
+from vistaflow.session import staged
 from vistaflow.sources.catalog import ViewCatalog
 
 # Fragments of column names that suggest a title or a change date.
@@ -259,7 +260,7 @@ def violations(
 # --- texts ------------------------------------------------------------------------------
 
 
-WORD = r"[\p{L}\p{N}_]"
+WORD, OTHER = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
 
 
 def cross_references(
@@ -267,31 +268,64 @@ def cross_references(
 ) -> DataFrame:
     """(id, name) for every name that occurs in a text as a whole word, in any case.
 
-    Each distinct word of a text is matched with the first word of the names by an equal
-    join, so texts and names are never paired blindly. Only for names of several words is
-    the text itself looked at again, and only where their first word was found.
+    Each distinct word of a text is matched with the names by an equal join, so texts and names
+    are never paired blindly. For names of several words, the stretches of as many words are
+    matched beside them, with what lies between the words, in the same pass over the texts.
+    Only names that begin or end with another sign are looked for in the text again, and only
+    where their first word was found.
     """
-    wanted = names.select(F.col(names.columns[0]).alias("name")).distinct()
-    first_word = F.lower(F.regexp_extract("name", f"({WORD}+)", 1))
-    wanted = wanted.select("name", first_word.alias("word")).where("word <> ''")
-    is_word = F.lower("name") == F.col("word")
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text_column), F.lit(f"({WORD}+)"), 1))
+    name = F.col(names.columns[0])
+    first_word = F.lower(F.regexp_extract(name, f"({WORD}+)", 1))
+    wanted = names.select(name.alias("name"), first_word.alias("word")).where("word <> ''").distinct()
+    inner = F.regexp("name", F.lit(f"(?s)^{WORD}(.*{WORD})?$"))
+    words = F.when(inner, F.size(F.regexp_extract_all("name", F.lit(f"({WORD}+)"), 1))).otherwise(0)
+    key = F.when(inner, F.lower("name")).otherwise(F.col("word"))
+    wanted = staged(wanted.select("name", words.alias("words"), key.alias("stretch")), "names")
+    facts = wanted.agg(F.count("*").alias("rows"), F.collect_set("words").alias("sizes")).first()
+    sizes = sorted({1, *(n for n in facts["sizes"] if n)})
     found = lookup(
-        texts.select(id_column, F.explode(words).alias("word")),
-        wanted.withColumn("is_word", is_word),
-        ["word"],
+        word_stretches(texts, id_column, text_column, sizes),
+        wanted,
+        ["stretch"],
         "inner",
-        small=within_rows(wanted),
+        small=facts["rows"] <= BROADCAST_ROWS,
     )
-    hits = found.where("is_word").select(id_column, "name")
-    if wanted.where(~is_word).isEmpty():
+    hits = found.where("words > 0").select(id_column, "name")
+    if 0 not in facts["sizes"]:
         return hits
-    candidates = found.where("NOT is_word").select(id_column, "name")
+    candidates = found.where("words = 0").select(id_column, "name")
     checked = candidates.join(texts.select(id_column, text_column), id_column)
     checked = checked.where(F.regexp(F.col(text_column), whole_word_pattern(F.col("name"))))
     return hits.unionByName(checked.select(id_column, "name"))
 
 
+def word_stretches(
+    texts: DataFrame, id_column: str, text_column: str, sizes: Sequence[int]
+) -> DataFrame:
+    """(id, stretch): the distinct stretches of so many words of each text, in lower case.
+
+    What lies between the words is part of a stretch.
+    """
+    tail = F.regexp_replace(F.lower(text_column), f"^{OTHER}+", "")
+    if list(sizes) == [1]:
+        words = F.array_distinct(F.regexp_extract_all(tail, F.lit(f"({WORD}+)"), 1))
+        return texts.select(id_column, F.explode(words).alias("stretch"))
+    # A column of its own: inside the lambda it would be split again for every word.
+    parts = F.regexp_extract_all(tail, F.lit(f"({WORD}+|{OTHER}+)"), 1)  # words at even places
+    split = texts.select(F.col(id_column).alias("_id"), parts.alias("_parts"))
+    count = F.ceil(F.size("_parts") / 2)
+
+    def of(size: int) -> Column:
+        every = F.transform(
+            F.sequence(F.lit(0).cast("long"), count - size),
+            lambda k: F.array_join(F.slice("_parts", (2 * k + 1).cast("int"), 2 * size - 1), ""),
+        )
+        return F.when(count >= size, every).otherwise(F.array().cast("array<string>"))
+
+    stretches = F.array_distinct(F.concat(*[of(n) for n in sizes]))
+    return split.select(F.col("_id").alias(id_column), F.explode(stretches).alias("stretch"))
+
+
 def whole_word_pattern(name: Column) -> Column:
     """Pattern for ``name`` in any case with a word boundary at both ends."""
     before = F.when(F.regexp(name, F.lit(f"^{WORD}")), f"(?<!{WORD})").otherwise(f"(?<={WORD})")

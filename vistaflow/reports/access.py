@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vistaflow.functions.identity import normalized, user_id
@@ -193,6 +194,51 @@ def docs_visible_to_user(spark, folder):
     return seen.select("id")
 
 
+# Who may read what as a table: types by user number, groups by what those users did.
+POLICY_SQL = (
+    "(SELECT DISTINCT CASE user_id % 4 WHEN 0 THEN 'event' WHEN 1 THEN 'documentLabel' "
+    "WHEN 2 THEN 'customer' ELSE 'orderCustomer' END AS object_type, event_type AS grp "
+    "FROM events WHERE user_id % 9 = 0)"
+)
+
+
+def _policy(spark: SparkSession, folder: str) -> DataFrame:
+    kinds = F.array(*[F.lit(k) for k in ("event", "documentLabel", "customer", "orderCustomer")])
+    events = table(spark, folder, "events").where("user_id % 9 = 0")
+    kind = F.element_at(kinds, (F.col("user_id") % 4 + 1).cast("int"))
+    return events.select(kind.alias("object_type"), F.col("event_type").alias("group"))
+
+
+@report(
+    "policy_table",
+    f"""
+    SELECT DISTINCT email, object_type
+    FROM (SELECT email, unnest(groups) AS grp FROM {USERS_SQL}) JOIN {POLICY_SQL} USING (grp)
+    """,
+)
+def policy_table(spark, folder):
+    """Types that users may read, by a policy that is a table."""
+    return A.permitted_kinds(users(spark, folder), _policy(spark, folder))
+
+
+@report(
+    "docs_visible_by_policy_table",
+    f"""
+    WITH k AS (SELECT DISTINCT object_type
+               FROM (SELECT unnest(groups) AS grp FROM {USERS_SQL} WHERE email = 'user7@example.com')
+               JOIN {POLICY_SQL} USING (grp))
+    SELECT 'event:' || event_id AS id FROM events WHERE 'event' IN (FROM k)
+    UNION ALL SELECT 'documentLabel:' || doc_id FROM {DOCUMENT_LABEL}
+    WHERE 'documentLabel' IN (FROM k)
+    UNION ALL SELECT 'orderCustomer:' || o_orderkey FROM orders WHERE 'orderCustomer' IN (FROM k)
+    """,
+)
+def docs_visible_by_policy_table(spark, folder):
+    docs = all_documents(spark, folder).where("object_type IN ('event', 'documentLabel', 'orderCustomer')")
+    policy = _policy(spark, folder)
+    return A.permitted_documents(docs, users(spark, folder), "User7@Example.com", policy).select("id")
+
+
 @report(
     "scope_current",
     """

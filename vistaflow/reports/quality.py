@@ -126,6 +126,33 @@ def text_cross_refs(spark, folder):
     return Q.cross_references(documents, "doc_id", "text", documents.select("lang"))
 
 
+_PHRASES_SQL = """
+    (SELECT DISTINCT w[i] || ' ' || w[i + 1] AS name
+     FROM (SELECT regexp_extract_all(text, '[a-z]+ [a-z]+ [a-z]+', 0)[1] AS s FROM benchmark),
+          (SELECT unnest([1, 2]) AS i), LATERAL (SELECT string_split(s, ' ') AS w)
+     WHERE s IS NOT NULL)
+"""
+
+
+@report(
+    "text_phrase_refs",
+    f"""
+    WITH t AS (SELECT doc_id, regexp_extract_all(
+                   lower(text), '[\\p{{L}}\\p{{N}}_]+|[^\\p{{L}}\\p{{N}}_]+') AS l FROM documents),
+         g AS (SELECT DISTINCT doc_id, unnest(list_transform(
+                   range(1, len(l) - 1), lambda i: l[i] || l[i + 1] || l[i + 2])) AS s FROM t)
+    SELECT doc_id, name FROM g JOIN {_PHRASES_SQL} ON s = name
+    """,
+)
+def text_phrase_refs(spark, folder):
+    """Phrases of two words, taken from the benchmark, that occur in the texts."""
+    sample = F.regexp_extract("text", "[a-z]+ [a-z]+ [a-z]+", 0)
+    words = F.split(sample, " ")
+    pair = F.explode(F.array(*[F.concat_ws(" ", words[i], words[i + 1]) for i in (0, 1)]))
+    phrases = table(spark, folder, "benchmark").where(sample != "").select(pair.alias("name"))
+    return Q.cross_references(table(spark, folder, "documents"), "doc_id", "text", phrases)
+
+
 _MISSING_SQL = """
     (SELECT '[Store' || json_extract_string(props, '$.k') || '].dbo.T' || user_id AS name
      FROM events WHERE event_type IN ('error', 'view')
