@@ -162,8 +162,10 @@ def test_group_policy(spark, users):
     assert seen("nobody@acme.example") == []
 
 
-def test_policies_as_a_table_give_what_lists_give(spark):
+@pytest.mark.parametrize("listed", [0, 1000])
+def test_policies_as_a_table_give_what_lists_give(spark, monkeypatch, listed):
     """Thousands of groups, users without any, and types that nobody may read."""
+    monkeypatch.setattr(A, "LISTED_KINDS", listed)
     people = [(f"u{i}@x.org", [f"g{k}" for k in range(i, 3000, 97)] or None) for i in range(40)]
     people += [("none@x.org", []), ("null@x.org", None)]
     frame = spark.createDataFrame(people, "email string, groups array<string>")
