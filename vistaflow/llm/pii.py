@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from bisect import bisect_right, insort
 from functools import cache
@@ -86,6 +87,28 @@ SPACED = re.compile(
     r"(?<=[A-Za-z0-9])([ \t]+at[ \t]+|@)([A-Za-z0-9-]+(?:(?:\.|[ \t]+dot[ \t]+)[A-Za-z0-9-]+)+)(?![A-Za-z0-9])",
     re.IGNORECASE)
 SPACED_DOT = re.compile(r"\.|[ \t]+dot[ \t]+", re.IGNORECASE)
+# The same with wider signs: "_at_" and "_dot_", and an at sign and stops with space around them.
+# A stop between spaces also ends sentences, so a common last label must follow it. Fixed values.
+LAST_LABELS = ("com org net edu gov mil int info biz io co ai app dev me "
+               "uk de fr nl es ru ch se pl jp cn br ca au eu").split()
+MARKED = re.compile(
+    r"(?<=[A-Za-z0-9])([ \t]*_at_[ \t]*|@)([A-Za-z0-9-]+(?:(?:\.|[ \t]*_dot_[ \t]*)[A-Za-z0-9-]+)+)(?![A-Za-z0-9])",
+    re.IGNORECASE)
+MARKED_DOT = re.compile(r"\.|[ \t]*_dot_[ \t]*", re.IGNORECASE)
+PARTED = re.compile(
+    r"(?<=[A-Za-z0-9])([ \t]*@[ \t]*)((?:[A-Za-z0-9-]+(?:\.|[ \t]+\.[ \t]+))+(?:%s))(?![A-Za-z0-9])" % "|".join(LAST_LABELS),
+    re.IGNORECASE)
+PARTED_DOT = re.compile(r"[ \t]*\.[ \t]*")
+# Signs written as entities or percent codes, and characters that show nothing.
+ESCAPED = re.compile(
+    r"&#([0-9]{1,7});|&#x([0-9a-f]{1,6});|&(commat|period|plus|lowbar|hyphen);|%(40|2e|2b|5f|2d)", re.IGNORECASE)
+ENTITIES = {"commat": "@", "period": ".", "plus": "+", "lowbar": "_", "hyphen": "-"}
+UNSEEN = re.compile("[%s]+" % "".join(map(chr, (0xAD, 0x34F, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F),
+                                                  *range(0x2060, 0x2070), 0xFEFF))))
+# Letters drawn like digits, among digits.
+LETTER_DIGITS = {"O": "0", "o": "0", "I": "1", "l": "1"}
+MIXED_RUN = re.compile(r"(?<![A-Za-z0-9])[0-9OoIl]++(?:[ .()-]{1,2}[0-9OoIl]++)*+(?![A-Za-z0-9])")
+MIXED = re.compile(r"[0-9][ .()-]{0,2}[OoIl]|[OoIl][ .()-]{0,2}[0-9]")
 # What may be a lookalike: beyond Latin letters, marks and general punctuation.
 FOREIGN = f"[^\\x00-{chr(0x2FF)}{chr(0x2000)}-{chr(0x206F)}]"
 ODD = re.compile(FOREIGN)
@@ -156,9 +179,26 @@ class Rewritten:
         return begin, end
 
     def changed(self, low: int, high: int) -> bool:
-        """Whether text[low:high] holds a replaced piece."""
+        """Whether text[low:high] holds a replaced piece, or lost one inside."""
         a, b = bisect_right(self.start, low) - 1, bisect_right(self.start, max(low, high - 1)) - 1
-        return not all(self.copied[a : b + 1])
+        begin, end = self.span(low, high)
+        return end - begin != high - low or not all(self.copied[a : b + 1])
+
+
+def escaped(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Entities and percent codes of single printable characters, and of unseen ones."""
+    found = []
+    for m in ESCAPED.finditer(now.text):
+        code = int(m[1]) if m[1] else int(m[2] or m[4] or "0", 16)
+        new = ENTITIES[m[3].lower()] if m[3] else chr(code) if code <= sys.maxunicode else ""
+        if new.isprintable() and new.strip() or UNSEEN.fullmatch(new):
+            found.append((*m.span(), new))
+    return found
+
+
+def unseen(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Characters without width, which are taken out."""
+    return [(*m.span(), "") for m in UNSEEN.finditer(now.text)]
 
 
 def lookalikes(now: Rewritten) -> list[tuple[int, int, str]]:
@@ -189,6 +229,39 @@ def spaced(now: Rewritten) -> list[tuple[int, int, str]]:
     return found
 
 
+def marked(now: Rewritten) -> list[tuple[int, int, str]]:
+    """At and dot between low lines; "look_at_this.html" is no disguise, its dot is plain."""
+    found = []
+    for m in MARKED.finditer(now.text):
+        dots = [(m.start(2) + d.start(), m.start(2) + d.end()) for d in MARKED_DOT.finditer(m[2])]
+        edits = [(*m.span(1), "@")] * (m[1] != "@") + [(*d, ".") for d in dots if now.text[d[0]] != "."]
+        if m[1][0] in " \t" or any(new == "." for *_, new in edits):
+            found += edits
+    return found
+
+
+def parted(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Addresses with a stop, and perhaps the at sign, between spaces."""
+    found = []
+    for m in PARTED.finditer(now.text):
+        dots = [(m.start(2) + d.start(), m.start(2) + d.end()) for d in PARTED_DOT.finditer(m[2])]
+        edits = [(*d, ".") for d in dots if d[1] - d[0] > 1]
+        if edits:
+            found += [(*m.span(1), "@")] * (m[1] != "@") + edits
+    return found
+
+
+def letter_digits(now: Rewritten) -> list[tuple[int, int, str]]:
+    """Letters for digits in runs of at least seven places, two thirds of them digits."""
+    found = []
+    for run in MIXED_RUN.finditer(now.text):
+        letters = [m.span() for m in re.finditer("[OoIl]", run[0])]
+        digits = sum(map(str.isdigit, run[0]))
+        if letters and digits + len(letters) >= 7 and digits >= 2 * len(letters):
+            found += [(run.start() + a, run.start() + b, LETTER_DIGITS[run[0][a]]) for a, b in letters]
+    return found
+
+
 def digit_words(now: Rewritten, run_of=DIGIT_RUN, part_of=DIGIT_PART) -> list[tuple[int, int, str]]:
     """Digits written as words, in runs of at least four; the words of a run are joined."""
     found = []
@@ -207,10 +280,10 @@ def number_words(now: Rewritten) -> list[tuple[int, int, str]]:
     return digit_words(now, NUMBER_RUN, NUMBER_PART)
 
 
-STEPS = (lookalikes, bracketed, spaced)
-READINGS = (digit_words, number_words)  # of the same text; what an earlier one finds stays
+STEPS = (escaped, unseen, lookalikes, bracketed, marked, parted, spaced)
+READINGS = (digit_words, number_words, letter_digits)  # of the same text; what an earlier one finds stays
 SUSPECT = re.compile(
-    rf"{FOREIGN}|[\[({{<][ \t]*(?:at|dot|@|\.)[ \t]*[\])}}>]|[ \t]dot[ \t]"
+    rf"{FOREIGN}|{UNSEEN.pattern}|{ESCAPED.pattern}|_at_|_dot_|[ \t]\.[ \t]|{MIXED.pattern}|[\[({{<][ \t]*(?:at|dot|@|\.)[ \t]*[\])}}>]|[ \t]dot[ \t]"
     rf"|\b(?:{WORD})[ ,.-]{{1,2}}(?:{WORD}|[0-9]+)\b|\b[0-9]++[ ,.-]{{1,2}}(?:{WORD})\b",
     re.IGNORECASE)
 
@@ -269,8 +342,8 @@ def scan_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per row of ``docs``: id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
 
     Counts and digest are of the plain identifiers; ``spans`` also holds those found behind
-    lookalike characters, spelled digits and disguised at and dot signs. Positions are code
-    points of the source text. Null and empty texts have no spans; texts are taken whole.
+    lookalike and unseen characters, entities and percent codes, spelled digits, letters for
+    digits, and disguised at and dot signs. Positions are code points of the source text. Null and empty texts have no spans; texts are taken whole.
     Repeated rows give repeated results, an empty table none; other columns are not read.
     """
     return scan_spans(docs, find_personal_data, KINDS, KINDS, id_col, text_col)
