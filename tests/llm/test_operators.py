@@ -407,6 +407,25 @@ def test_hot_classes_like_brute_force(spark, monkeypatch, changes):
     assert rows(jaccard_join.similar_documents(table)) == brute_similar(documents)
 
 
+@pytest.mark.parametrize("block", [3, 1024])
+def test_counted_links_like_brute_force(spark, monkeypatch, block):
+    """Every document's links, those inside a class and to copies too, whatever blocks they meet in."""
+    monkeypatch.setattr(jaccard_join, "COUNT_ROWS", block)
+    documents = EDGE + [(i + 20, t) for i, t in one_class(spark, 60, 1, 90)]
+    documents += [(i + 500, t) for i, t in documents[10:30:3]]
+    sets = [set(s.tolist()) for s in jaccard_join.shingle_sets(pa.array([t for _, t in documents], pa.string()))]
+    want = []
+    for a, (i, _) in enumerate(documents):
+        others = [b for b in range(len(documents)) if b != a and documents[b][0] is not None]
+        near = [b for b in others if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+        want.append((i, len(near) if i is not None and sets[a] else 0))
+    table = spark.createDataFrame(documents, "doc_id long, text string")
+    got = jaccard_join.similar_documents(table, count=True)
+    assert rows(got, "doc_id", "n_links") == sorted(want, key=repr)
+    assert rows(got.drop("n_links")) == brute_similar(documents)
+    assert len({n for _, n in want}) > 5
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     needed = jaccard_join.needed_matches()
     assert needed == sorted(needed) and needed[-1] < 0.8 * jaccard_join.HASHES

@@ -24,6 +24,7 @@ HASHES, STEP = 128, 16  # MinHash values, and how many are compared at a time
 BAND = 4  # values of a band: a pair at the threshold misses all bands with p = 5e-8
 TOLERANCE = 1e-9  # chance to reach the threshold below which a pair is dropped
 BUCKET_BLOCK, CLUSTER_BLOCK = 512, 256
+COUNT_ROWS, COUNT_SHINGLES = 1024, 1_000_000  # most rows, and shingles on average, of a block in the count of links
 CELLS = 4_000_000
 
 _random = np.random.default_rng(4_242)
@@ -177,10 +178,11 @@ def candidate_forest(values: np.ndarray, group: np.ndarray, needed: list[int]) -
     return forest
 
 
-def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+def shared_counts(sets: list[np.ndarray], split: int | None = None) -> np.ndarray:
     """Sizes of all intersections, by products of blocks of the membership matrix.
 
-    Shingles of only one set are left out: no intersection holds them.
+    With ``split`` only those of the sets before it with the others. Shingles of only one set
+    are left out: no intersection holds them.
     """
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     distinct, codes, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -190,13 +192,15 @@ def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
     size = int((counts > 1).sum())
     order = np.argsort(codes, kind="stable")
     owner, codes = owner[order], codes[order]
-    total = np.zeros((len(sets), len(sets)), np.float64)
+    left, right = (slice(None), slice(None)) if split is None else (slice(split), slice(split, None))
+    every = range(len(sets))
+    total = np.zeros((len(every[left]), len(every[right])), np.float64)
     width = max(64, CELLS // len(sets))
     for low in range(0, size, width):
         a, b = np.searchsorted(codes, [low, low + width])
         block = np.zeros((len(sets), min(width, size - low)), np.float32)
         block[owner[a:b], codes[a:b] - low] = 1
-        total += block @ block.T
+        total += block[left] @ block[right].T
     return total.astype(np.int64)
 
 
@@ -331,30 +335,81 @@ def connect(rows: Callable[[DataFrame | None], DataFrame], key: str, size: int,
     return links.unionByName(staged(met.mapInArrow(far, LINK), label))
 
 
+def count_links(rows: DataFrame, threshold: Fraction) -> DataFrame:
+    """Rows (node, links): of how many documents with other shingles a node reaches the threshold.
+
+    ``rows`` has ``root`` (the class, outside which no link leads), ``blocks``, ``node``,
+    ``copies`` and ``shingles``. Nodes of a class are dealt to its blocks; every two blocks, and
+    every block with itself, meet in one group, where the sizes of all intersections are taken.
+    So a class of any size is counted in pieces of bounded memory; its work is that of its pairs.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out = to_arrow_schema(COUNTED)
+    keys = ["root", "low", "high"]
+
+    def count(batches):
+        for table in group_runs(batches, keys):
+            starts = group_starts(group_numbers(table, keys)).tolist()
+            sets = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+            sizes = np.array([len(s) for s in sets])
+            copies, own = table.column("copies").to_numpy(), table.column("own").to_numpy()
+            low_block, high_block = table.column("low").to_numpy(), table.column("high").to_numpy()
+            links = np.zeros(len(sets), np.int64)
+            for a, b in zip(starts, starts[1:]):
+                within = low_block[a] == high_block[a]
+                split = a + int((own[a:b] == low_block[a]).sum())
+                if not within and split in (a, b):
+                    continue
+                both = shared_counts(sets[a:b], None if within else split - a)
+                left, right = (slice(a, b), slice(a, b)) if within else (slice(a, split), slice(split, b))
+                either = sizes[left, None] + sizes[None, right] - both
+                true = both * threshold.denominator >= either * threshold.numerator
+                if within:
+                    np.fill_diagonal(true, False)
+                else:
+                    links[right] += copies[left] @ true
+                links[left] += true @ copies[right]
+            some = np.flatnonzero(links)
+            yield record_batch({
+                "node": table.column("node").combine_chunks().take(pa.array(some)), "links": links[some]}, out)
+
+    own = F.pmod(F.xxhash64("node", F.lit(29)), F.col("blocks")).cast("int")
+    met = rows.withColumn("own", own)
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+                     "own", "node", "copies", "shingles")
+    met = met.repartition(*keys).sortWithinPartitions(*keys, "own", "node")
+    return met.mapInArrow(count, COUNTED).groupBy("node").agg(F.sum("links").alias("links"))
+
+
 SIGNED = StructType([
     StructField("node", BinaryType()), StructField("size", IntegerType()),
     StructField("signature", BinaryType()),
 ])
 LINK = StructType([StructField("a", BinaryType()), StructField("b", BinaryType())])
+COUNTED = StructType([StructField("node", BinaryType()), StructField("links", LongType())])
 SETS = StructType([StructField("node", BinaryType()), StructField("shingles", BinaryType())])
 
 
 def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int = SHINGLE,
-                      id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, class_id, copy_id, class_size.
+                      id_col: str = "doc_id", text_col: str = "text",
+                      count: bool = False) -> DataFrame:
+    """One row per row of ``docs``: id, class_id, copy_id, class_size; with ``count`` n_links too.
 
     Two documents are linked if the Jaccard similarity of their word shingles is at least
     ``threshold``. ``class_id`` is the smallest id that links lead to, ``copy_id`` the smallest
-    id with the same shingles, ``class_size`` the number of documents of the class. 64-bit
-    hashes stand for shingles.
+    id with the same shingles, ``class_size`` the number of documents of the class, ``n_links``
+    the number of other documents, copies among them, that the document itself is linked to.
+    64-bit hashes stand for shingles.
 
     Documents with equal shingle sets are one node. Nodes that share a band of MinHash values
     meet in buckets, where Bayesian pruning leaves candidates. What candidates connect is a
     cluster; its nodes get their shingle sets once, and there unpruned pairs are checked
     exactly until all that links connect is connected (``connect``). A pair whose ends are
-    connected already needs no check, so links inside a class are not counted. A pair at the
-    threshold is missed with a chance of about 5e-8 by all bands and 1e-8 by pruning, others
-    less.
+    connected already needs no check for the classes. Links are counted afterwards from all pairs
+    of nodes of a class, none of them pruned (``count_links``). A pair at the threshold is missed
+    with a chance of about 5e-8 by all bands and 1e-8 by pruning, others less.
 
     Null or empty texts, and texts without words, link to nothing: their class is their own
     id. Rows with a null id have a null class and size 1. Rows that repeat an id count as
@@ -385,7 +440,7 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     nodes = staged(
         linkable.groupBy("node").agg(
             F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"),
-            F.first("signature").alias("signature")),
+            F.first("signature").alias("signature"), F.first("size").alias("size")),
         "nodes")
 
     bands = F.array(*[
@@ -426,9 +481,10 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
                 "shingles": [s.tobytes() for s in sets],
             }, sets_out)
 
-    ids = wanted.select(F.col("least").alias("id")).distinct()
-    sets = measured_join(frame, ids, "id", wanted.count()).mapInArrow(shingles, SETS)
-    sets = sets.dropDuplicates(["node"])
+    def sets_from(ids, number):
+        return measured_join(frame, ids, "id", number).mapInArrow(shingles, SETS).dropDuplicates(["node"])
+
+    sets = sets_from(wanted.select(F.col("least").alias("id")).distinct(), wanted.count())
 
     def cluster_rows(keys):
         own = wanted if keys is None else wanted.join(keys, "root", "left_semi")
@@ -451,15 +507,32 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, width: int
     linked = parts.join(facts, "node")
     classes = linked.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("copies").alias("class_size"))
     alone = facts.filter("copies > 1").join(parts, "node", "left_anti")
-    info = linked.join(classes, "root").select("node", "class_id", F.col("least").alias("copy_id"), "class_size")
+    linked_info = linked.join(classes, "root")
+    if count:
+        held = parts.join(nodes.select("node", "least", "copies", "size"), "node")
+        wide = F.greatest(F.count(F.lit(1)) / COUNT_ROWS, F.sum("size") / COUNT_SHINGLES)
+        blocks = held.groupBy("root").agg(F.ceil(wide).cast("int").alias("blocks"))
+        held = staged(held.join(blocks, "root").select("root", "blocks", "node", "least", "copies"), "linked")
+        ids = held.select(F.col("least").alias("id")).distinct()
+        counted = count_links(held.join(sets_from(ids, held.count()), "node"), exact)
+        linked_info = linked_info.join(counted, "node", "left")
+        others = F.coalesce("links", F.lit(0))
+    else:
+        others = F.lit(0)
+    columns = ["node", "class_id", F.col("least").alias("copy_id"), "class_size"]
+    info = linked_info.select(*columns, (F.col("copies") - 1 + others).alias("n_links"))
     info = info.unionByName(alone.select(
-        "node", F.col("least").alias("class_id"), F.col("least").alias("copy_id"), F.col("copies").alias("class_size")))
+        "node", F.col("least").alias("class_id"), F.col("least").alias("copy_id"), F.col("copies").alias("class_size"),
+        (F.col("copies") - 1).alias("n_links")))
     rows = salted_left_join(
         signed.select("id", "size", "node"), staged(info, "classes"), ["node"], F.col("id"))
     single = F.col("id").isNull() | (F.col("size") == 0) | F.col("class_id").isNull()
-    return rows.select(
+    found = [
         F.col("id").alias(id_col),
         F.when(single, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(single, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.when(single, F.lit(1)).otherwise(F.col("class_size")).cast("long").alias("class_size"),
-    )
+    ]
+    if count:
+        found.append(F.when(single, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
+    return rows.select(*found)

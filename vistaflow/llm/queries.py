@@ -104,7 +104,7 @@ def op8_pii(spark, folder):
 
 @query
 def op9_ngram_jaccard(spark, folder):
-    return jaccard_join.similar_documents(table(spark, folder, "documents"))
+    return jaccard_join.similar_documents(table(spark, folder, "documents"), count=True)
 
 
 @query
