@@ -324,6 +324,21 @@ def test_compaction_keeps_the_documents(spark, job):
     assert compacted.base_batch == compacted.last_batch == 3
 
 
+def test_one_batch_of_changes_is_merged_without_ranking(spark, tmp_path):
+    """Ids of one batch are unique; batches are stored with an entropy coder."""
+    index = DocumentIndex(spark, f"{tmp_path}/index")
+    rows = spark.range(100).selectExpr("int(id) AS CompanyID", "'x' AS Name", "timestamp_ntz'2026-05-01' AS Modified")
+    for batch in range(3):
+        later = build_documents(rows.where(f"CompanyID >= {40 * batch}").withColumn("Name", F.lit(f"n{batch}")), VIEW)
+        index.write_batch("v_Company", batch, later)
+    files = folder_names(spark, f"{tmp_path}/index/view=v_Company/batch=1")
+    assert any(".zstd." in f for f in files)
+    for last, names in ((1, {"n0": 40, "n1": 60}), (2, {"n0": 40, "n1": 40, "n2": 20})):
+        merged = index.view_documents(ViewState("v_Company", base_batch=0, last_batch=last))
+        assert ("Window" in merged._jdf.queryExecution().optimizedPlan().toString()) == (last == 2)
+        assert dict(merged.groupBy("title").count().collect()) == names
+
+
 def test_preview_writes_no_index_and_no_state(spark, job, tmp_path, company):
     catalog = ViewCatalog(spark)
     catalog.register(VIEW, lambda: company)
