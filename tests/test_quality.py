@@ -95,6 +95,25 @@ def test_cross_references_equal_brute_force(spark):
     assert set(rows) == {w for w in want if re.fullmatch(r"\w+", w[1])} and len(rows) == len(set(rows))
 
 
+def test_stretches_of_words_need_no_step_for_each_word(spark):
+    """Stretches from every word on, of the wanted sizes only, by expressions that compile."""
+    texts = {1: "a b, a b  c-d a", 2: "x", 3: None, 4: "  É é_1 É!", 5: "a b c d e f g " * 9}
+    df = spark.createDataFrame(list(texts.items()), "id int, body string")
+    for sizes in ([2], [1, 3], [4]):
+        found = Q.word_stretches(df, "id", "body", sizes)
+        want = set()
+        for i, text in texts.items():
+            parts = re.findall(r"\w+|\W+", re.sub(r"^\W+", "", (text or "").lower()))
+            words = len(parts[::2])
+            want |= {(i, "".join(parts[2 * k : 2 * (k + n) - 1])) for n in sizes for k in range(words - n + 1)}
+        got = [tuple(r) for r in found.collect()]
+        assert set(got) == want and len(got) == len(want)
+        assert "lambdafunction" not in found._jdf.queryExecution().optimizedPlan().toString()
+    names = spark.createDataFrame([("a b",), ("c-d a",)], "n string")
+    assert {tuple(r) for r in Q.cross_references(df, "id", "body", names).collect()} == {
+        (1, "a b"), (1, "c-d a"), (5, "a b")}
+
+
 SCHEMA = "FirstName string, PersonID int, StartDate date, CompanyTitle string, LastUpdated timestamp_ntz, EventX int"
 
 

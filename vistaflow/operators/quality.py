@@ -282,7 +282,7 @@ def cross_references(
     key = F.when(inner, F.lower("name")).otherwise(F.col("word"))
     wanted = staged(wanted.select("name", words.alias("words"), key.alias("stretch")), "names")
     facts = wanted.agg(F.count("*").alias("rows"), F.collect_set("words").alias("sizes")).first()
-    sizes = sorted({1, *(n for n in facts["sizes"] if n)})
+    sizes = sorted({n or 1 for n in facts["sizes"]} or {1})
     found = lookup(
         word_stretches(texts, id_column, text_column, sizes),
         wanted,
@@ -310,20 +310,15 @@ def word_stretches(
     if list(sizes) == [1]:
         words = F.array_distinct(F.regexp_extract_all(tail, F.lit(f"({WORD}+)"), 1))
         return texts.select(id_column, F.explode(words).alias("stretch"))
-    # A column of its own: inside the lambda it would be split again for every word.
-    parts = F.regexp_extract_all(tail, F.lit(f"({WORD}+|{OTHER}+)"), 1)  # words at even places
-    split = texts.select(F.col(id_column).alias("_id"), parts.alias("_parts"))
-    count = F.ceil(F.size("_parts") / 2)
-
-    def of(size: int) -> Column:
-        every = F.transform(
-            F.sequence(F.lit(0).cast("long"), count - size),
-            lambda k: F.array_join(F.slice("_parts", (2 * k + 1).cast("int"), 2 * size - 1), ""),
-        )
-        return F.when(count >= size, every).otherwise(F.array().cast("array<string>"))
 
-    stretches = F.array_distinct(F.concat(*[of(n) for n in sizes]))
-    return split.select(F.col("_id").alias(id_column), F.explode(stretches).alias("stretch"))
+    def of(size: int) -> list[Column]:
+        """The stretches from word 0, size, ... on, from word 1, size + 1, ... on, and so forth."""
+        stretch = f"({WORD}++(?:{OTHER}++{WORD}++){{{size - 1}}})"
+        later = [F.regexp_replace(tail, f"^(?:{WORD}++{OTHER}++){{{k}}}", "") for k in range(1, size)]
+        return [F.regexp_extract_all(rest, F.lit(stretch), 1) for rest in (tail, *later)]
+
+    stretches = F.array_distinct(F.concat(*[part for n in sizes for part in of(n)]))
+    return texts.select(id_column, F.explode(stretches).alias("stretch"))
 
 
 def whole_word_pattern(name: Column) -> Column:
