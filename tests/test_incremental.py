@@ -11,7 +11,7 @@ from vistaflow.functions.render import RESOLUTIONS, rendered
 from vistaflow.model import DocumentOptions, ViewDef
 from vistaflow.operators.upsert import diff, upsert
 from vistaflow.plans.documents import build_documents
-from vistaflow.plans.index import DocumentIndex, find_document
+from vistaflow.plans.index import DocumentIndex, buckets_for, find_document
 from vistaflow.plans.run import RunSettings, run_index, run_preview
 from vistaflow.plans.state import SyncState, ViewState
 from vistaflow.plans.users import Directory, expand_readers, reader_table, user_table
@@ -580,6 +580,11 @@ def test_changes_of_any_size_leave_a_bucketed_base_in_place(spark, tmp_path, mon
     assert index.view_documents(folded).where("title = 'new'").count() == 0
 
 
+def test_buckets_hold_no_more_rows_as_a_table_grows():
+    assert buckets_for(0) == buckets_for(1_600_000) == 8
+    assert all(rows / buckets_for(rows) <= 200_000 for rows in (1_600_001, 9_000_000, 54_000_000))
+
+
 def test_states_of_earlier_versions_are_read(spark, tmp_path):
     state = SyncState(spark, f"{tmp_path}/state")
     state.table.replace(spark.createDataFrame([("v", "w", 1, "now", 0, 2)],

@@ -36,6 +36,12 @@ STORED = T.StructType(
 
 # Bodies repeat their column names and digests are hex: entropy coding halves them.
 CODEC = "zstd"
+BUCKET_ROWS, LEAST_BUCKETS = 200_000, 8
+
+
+def buckets_for(rows: int) -> int:
+    """Buckets for a base of about ``rows`` documents, so that no bucket grows with the table."""
+    return max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
 
 
 class DocumentIndex:

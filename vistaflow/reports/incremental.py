@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vistaflow.model import DocumentOptions, ViewDef
 from vistaflow.operators.upsert import diff
-from vistaflow.plans.index import DocumentIndex
+from vistaflow.plans.index import DocumentIndex, buckets_for
 from vistaflow.plans.run import RunSettings, run_index
 from vistaflow.plans.state import SyncState, merge_state, state_frame
 from vistaflow.plans.users import Directory, reader_table, user_table
@@ -283,7 +283,7 @@ def index_deletes(spark, folder):
 def index_bucketed(spark, folder):
     """A base in buckets and two runs of changes on top of it, merged."""
     job = Job(spark, folder)
-    job.index.buckets = 8
+    job.index.buckets = buckets_for(table(spark, folder, "orders").count())
     orders = job.views.frame("v_Order_Customer")
     early = orders.where(f"o_orderdate <= '{CUT}'").withColumn("o_orderstatus", F.lit("?"))
     view = replace(job.views.definition("v_Order_Customer"), watermark_column=None)
