@@ -3,6 +3,7 @@
 import datetime
 import decimal
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,14 @@ from pyspark.sql import types as T
 from vistaflow.functions import documents as D
 from vistaflow.functions.values import iso_text, iso_with_offset
 from vistaflow.model import DOCUMENT_SCHEMA, DocumentOptions, ViewDef
-from vistaflow.operators.dedupe import duplicate_keys, duplicate_report, last_wins
+from vistaflow.operators.dedupe import (
+    COUNTED_ROWS,
+    duplicate_keys,
+    duplicate_report,
+    key_counts,
+    last_wins,
+    tasks_for,
+)
 from vistaflow.plans.documents import (
     build_documents,
     documents_of_all_rows,
@@ -213,6 +221,23 @@ def test_dedupe_is_idempotent_and_counts(spark):
     assert tuple(duplicate_report(df.where("false"), "id").first()) == (0, 0, 0)
 
 
+def test_keys_are_counted_in_tasks_that_do_not_grow_with_the_table(spark):
+    """No task keeps a table of all keys of its split: they are dealt first, by enough tasks."""
+    assert tasks_for(0) == tasks_for(8 * COUNTED_ROWS) == 8
+    assert all(n / tasks_for(n) <= COUNTED_ROWS for n in (4_000_001, 42_000_000, 252_000_000))
+    df = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', if(id = 1, null, string(id div 2))) AS k")
+    want = Counter(r["k"] for r in df.collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        for rows in (None, 10 * COUNTED_ROWS):
+            assert {r["k"]: r["copies"] for r in key_counts(df, "k", rows).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    counts = key_counts(df, "k", 10 * COUNTED_ROWS)
+    above, below = counts._jdf.queryExecution().executedPlan().toString().split("Exchange hash")
+    assert "Aggregate" in above and "Aggregate" not in below and ", 10)" in below.splitlines()[0]
+
+
 def test_colliding_composite_keys_are_reported(spark):
     view = ViewDef("v", "p", id_columns=("a", "b", "c"))
     df = spark.createDataFrame([(1, None, 2), (1, 2, None)], "a int, b int, c int")

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vistaflow.operators.lookup import lookup, within_rows
 
+# Rows whose keys one task counts, and the tasks that small tables are dealt to.
+COUNTED_ROWS, LEAST_TASKS = 500_000, 8
+
 
 def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -47,20 +52,42 @@ def first_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return pick_one(df, [key], [F.asc_nulls_first(c) for c in order])
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key, combined before the shuffle."""
-    return df.groupBy(key).agg(F.count("*").alias("copies"))
+def tasks_for(rows: int) -> int:
+    """Tasks that count the keys of ``rows`` rows, so that no task holds more as a table grows."""
+    return max(LEAST_TASKS, -(-rows // COUNTED_ROWS))
+
+
+def key_counts(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
+    """Rows per key, combined before the shuffle, batch by batch.
+
+    Keys are mostly unique: a hash table of all keys of a map task would grow with its split
+    and combine next to nothing. A batch is small and still turns the copies of a hot key into
+    one row. ``rows`` is about the number of rows, if known; without it the session's number
+    of shuffle partitions counts.
+    """
+    keys = df.select(key)
+
+    def combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.Table.from_batches([batch]).group_by(key, use_threads=False)
+            counts = found.aggregate([([], "count_all")])
+            yield from counts.rename_columns([key, "copies"]).to_batches()
+
+    schema = T.StructType([*keys.schema.fields, T.StructField("copies", T.LongType())])
+    parts = keys.mapInArrow(combined, schema)
+    dealt = parts.repartition(key) if rows is None else parts.repartition(tasks_for(rows), key)
+    return dealt.groupBy(key).agg(F.sum("copies").alias("copies"))
 
 
-def duplicate_report(df: DataFrame, key: str) -> DataFrame:
+def duplicate_report(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """One row: rows, distinct keys and rows that de-duplication drops."""
-    return key_counts(df, key).agg(
+    return key_counts(df, key, rows).agg(
         F.coalesce(F.sum("copies"), F.lit(0)).alias("row_count"),
         F.count("*").alias("distinct_count"),
         F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("dropped"),
     )
 
 
-def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
+def duplicate_keys(df: DataFrame, key: str, rows: int | None = None) -> DataFrame:
     """Keys that more than one row has, with their row counts."""
-    return key_counts(df, key).where(F.col("copies") > 1)
+    return key_counts(df, key, rows).where(F.col("copies") > 1)

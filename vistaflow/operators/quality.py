@@ -219,12 +219,15 @@ def property_use(docs: DataFrame, declared: Mapping[str, Sequence[str]]) -> Data
 
 
 def violations(
-    docs: DataFrame, declared: Mapping[str, Sequence[str]], url_pattern: str
+    docs: DataFrame,
+    declared: Mapping[str, Sequence[str]],
+    url_pattern: str,
+    rows: int | None = None,
 ) -> DataFrame:
     """Rows (id, rule, detail) for everything an index would refuse.
 
     All rules about one document are tested in one pass; only ids are shuffled, to find
-    those that occur twice.
+    those that occur twice. ``rows`` is about the number of documents (see ``key_counts``).
     """
     known = F.lit(None).cast("array<string>")
     for object_type, names in declared.items():
@@ -251,7 +254,7 @@ def violations(
         F.arrays_zip(repeated_rule.alias("rule"), undeclared.alias("detail")),
     )
     per_document = docs.select("id", F.inline(broken))
-    repeated = duplicate_keys(docs, "id").select(
+    repeated = duplicate_keys(docs, "id", rows).select(
         "id", F.lit("duplicate_id").alias("rule"), F.col("copies").cast("string").alias("detail")
     )
     return per_document.unionByName(repeated)

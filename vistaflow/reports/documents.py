@@ -233,7 +233,8 @@ def dedupe_last_wins(spark, folder):
     """,
 )
 def dup_report(spark, folder):
-    return duplicate_report(docs_of(spark, folder, "v_Lineitem_Order"), "id")
+    rows = table(spark, folder, "lineitem").count()
+    return duplicate_report(docs_of(spark, folder, "v_Lineitem_Order"), "id", rows)
 
 
 @report(
@@ -462,7 +463,8 @@ def doc_violations(spark, folder):
         "documentLabel": ["lang", "source", "toxic"],
         "event": ["user_id", "event_type", "ts"],
     }
-    return violations(docs, declared, url_pattern(base=BASE))
+    rows = sum(table(spark, folder, t).count() for t in ("documents", "events", "lineitem"))
+    return violations(docs, declared, url_pattern(base=BASE), rows)
 
 
 @report(
